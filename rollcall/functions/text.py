@@ -51,8 +51,8 @@ def join_parts(*parts: Column, sep: str = fv.PART_SEPARATOR) -> Column:
 
 def lookup(code: Column, table: Mapping[str, str], miss_prefix: str) -> Column:
     """Decode through a small constant map; a miss keeps the code, named."""
-    pairs = [F.lit(x) for kv in table.items() for x in kv]
-    known = F.try_element_at(F.create_map(*pairs), code)
+    pairs = ", ".join(f"'{k}', '{v}'" for k, v in table.items())
+    known = F.try_element_at(F.expr(f"map({pairs})"), code)
     return F.coalesce(known, F.concat(F.lit(miss_prefix), F.coalesce(code, F.lit("None"))))
 
 

@@ -1,27 +1,26 @@
-"""Small helpers to put table columns into XML records."""
+"""SQL text that puts table columns into XML records."""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+NULL = "CAST(NULL AS STRING)"
 
 
-def text(value) -> Column:
-    """A string column from a column name's Column, a literal, or None."""
-    return value if isinstance(value, Column) else F.lit(value).cast("string")
+def element(**children: str) -> str:
+    """A nested element from SQL snippets; attributes are named ``_x``, text ``_VALUE``."""
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in children.items()) + ")"
 
 
-def element(**children) -> Column:
-    """A nested element; attributes are given as ``_name``, text as ``_VALUE``."""
-    return F.struct(*[text(v).alias(k) for k, v in children.items()])
+def some(*elements: str) -> str:
+    """A repeated element, leaving out those that are null."""
+    return f"filter(array({', '.join(elements)}), e -> e IS NOT NULL)"
 
 
-def some(*elements: Column) -> Column:
-    """A repeated element, leaving out those that are null."""
-    return F.filter(F.array(*elements), lambda e: e.isNotNull())
+def several(*elements: str) -> str:
+    return f"array({', '.join(elements)})"
 
 
-def only_if(cond: Column, value: Column) -> Column:
-    return F.when(cond, value)
+def only_if(cond: str, value: str) -> str:
+    return f"CASE WHEN {cond} THEN {value} END"
 
 
-def xml(record: Column, tag: str) -> Column:
-    return F.to_xml(record, {"rowTag": tag})
+def xml(tag: str, **children: str) -> str:
+    """The record as XML text, in a column named ``xml``."""
+    return f"to_xml({element(**children)}, map('rowTag', '{tag}')) AS xml"

@@ -7,9 +7,9 @@ from rollcall.fixed_values import DOCUMENT_TYPES, FEED_COLUMNS, PROGRAMS
 from rollcall.operators import feed as op
 from rollcall.operators import reports
 from rollcall.operators.lookups import decode_by_join
-from rollcall.queries.build import element, only_if, some, xml
+from rollcall.queries.build import NULL, element, only_if, several, some, xml
 from rollcall.queries.tables import (
-    CUSTOMERS_SQL, ORDERS_SQL, SUPPLIERS_SQL, customers, orders, suppliers, table,
+    CUSTOMERS_SQL, ORDERS_SQL, SUPPLIERS_SQL, customers, orders, suppliers, wide_table,
 )
 from rollcall.schemas import CORRUPT_COLUMN, FEED_ENTITY
 from rollcall.sources.xml import parse_column, with_corrupt
@@ -19,201 +19,189 @@ from rollcall.sources.xml import parse_column, with_corrupt
 
 
 def _name(primary, *spellings):
-    return element(
-        isPrimary=primary,
-        translations=element(translation=F.array(*[element(formattedFullName=s) for s in spellings])),
-    )
+    spelled = [element(formattedFullName=s) for s in spellings]
+    return element(isPrimary=primary, translations=element(translation=several(*spelled)))
 
 
 def _feature(type_id, value):
-    return element(type=element(_featureTypeId=type_id, _VALUE="feature"), value=value)
+    return element(
+        type=element(_featureTypeId=f"'{type_id}'", _VALUE="'feature'"), value=value
+    )
 
 
 def _document(type_id, number):
-    return element(type=element(_refId=type_id, _VALUE="document"), documentNumber=number)
+    return element(type=element(_refId=type_id, _VALUE="'document'"), documentNumber=number)
 
 
-def _programs(*refs):
-    return F.array(*[element(_refId=r, _VALUE="program") for r in refs])
+def _program(ref):
+    return element(_refId=ref, _VALUE="'program'")
+
+
+def _named(name):
+    return element(name=several(_name("'true'", name)))
 
 
 def customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(key, seg, xml): one entity per customer, every group filled or left out."""
-    c = F.col
-    seg, region, bal = c("seg"), c("region"), c("bal")
-    both = F.concat(seg, F.lit(" & <"), c("nation"), F.lit(">"))
-    birth = (
-        F.when(region == "ASIA", F.concat(F.lit("1970-2-"), (c("nk") + 1).cast("string")))
-        .when(region == "EUROPE", F.concat(F.lit("circa 19"), (c("nk") + 50).cast("string")))
-        .when(region == "AFRICA", F.concat((c("nk") + 1).cast("string"), F.lit(" jan  1981")))
-        .when(region == "AMERICA", F.lit("unknown"))
-    )
-    sex = (
-        F.when(seg == "HOUSEHOLD", "MALE").when(seg == "MACHINERY", "Female")
-        .when(seg == "BUILDING", "Other").when(seg == "AUTOMOBILE", "")
-    )
-    record = element(
-        _action=F.when(bal < 0, "delete").when(bal < 9900, "add"),
+    both = "seg || ' & <' || nation || '>'"
+    birth = """CASE region WHEN 'ASIA' THEN '1970-2-' || (nk + 1)
+      WHEN 'EUROPE' THEN 'circa 19' || (nk + 50)
+      WHEN 'AFRICA' THEN (nk + 1) || ' jan  1981' WHEN 'AMERICA' THEN 'unknown' END"""
+    sex = """CASE seg WHEN 'HOUSEHOLD' THEN 'MALE' WHEN 'MACHINERY' THEN 'Female'
+      WHEN 'BUILDING' THEN 'Other' WHEN 'AUTOMOBILE' THEN '' END"""
+    code = """CASE seg WHEN 'HOUSEHOLD' THEN '600' WHEN 'MACHINERY' THEN '601'
+      WHEN 'BUILDING' THEN '602' WHEN 'AUTOMOBILE' THEN '603' END"""
+    published = """CASE region WHEN 'AFRICA' THEN '2024-1-5' WHEN 'AMERICA' THEN '05/01/2024'
+      WHEN 'EUROPE' THEN '2024-02-30' WHEN 'MIDDLE EAST' THEN '2024-12-31' END"""
+    no_type = "CAST(NULL AS STRUCT<_refId:STRING,_VALUE:STRING>)"
+    household, machinery = "seg = 'HOUSEHOLD'", "seg = 'MACHINERY'"
+    building, automobile = "seg = 'BUILDING'", "seg = 'AUTOMOBILE'"
+    record = xml(
+        "entity",
+        _action="CASE WHEN bal < 0 THEN 'delete' WHEN bal < 9900 THEN 'add' END",
         generalInfo=element(
             entityType=only_if(
-                ~((seg == "FURNITURE") & (bal < 5000)),
-                element(
-                    _refId=F.when(seg == "HOUSEHOLD", "600").when(seg == "MACHINERY", "601")
-                    .when(seg == "BUILDING", "602").when(seg == "AUTOMOBILE", "603"),
-                    _VALUE="type",
-                ),
+                "NOT (seg = 'FURNITURE' AND bal < 5000)", element(_refId=code, _VALUE="'type'")
             )
         ),
         names=element(
             name=some(
                 _name(
-                    F.when((seg == "AUTOMOBILE") & (region == "AFRICA"), "false").otherwise("true"),
-                    "", c("name"), F.upper("name"),
+                    f"CASE WHEN {automobile} AND region = 'AFRICA' THEN 'false' ELSE 'true' END",
+                    "''", "name", "upper(name)",
                 ),
-                _name(None, both),
-                _name("TRUE", F.concat(F.lit("  "), c("nation")), both),
-                only_if(region == "EUROPE", _name("true", F.concat(F.lit("Second "), c("name")))),
+                _name(NULL, both),
+                _name("'TRUE'", "'  ' || nation", both),
+                only_if("region = 'EUROPE'", _name("'true'", "'Second ' || name")),
             )
         ),
         features=element(
             feature=some(
-                _feature("9", c("nation")),
-                _feature("9", ""),
-                only_if(seg == "HOUSEHOLD", _feature("9", region)),
-                only_if(birth.isNotNull(), _feature("8", birth)),
-                only_if(seg == "MACHINERY", _feature("8", "circa 1965")),
-                only_if(sex.isNotNull(), _feature("224", sex)),
-                only_if(seg == "HOUSEHOLD", _feature("10", c("nation"))),
-                only_if(seg == "HOUSEHOLD", _feature("10", region)),
-                only_if(seg == "MACHINERY", _feature("10", F.concat(c("nation"), F.lit(" ; x")))),
-                only_if(seg == "AUTOMOBILE", _feature("10", c("nation"))),
-                only_if(seg == "AUTOMOBILE", _feature("10", c("nation"))),
-                only_if((seg == "BUILDING") & (bal > 3000),
-                        _feature("3", F.concat(c("nation"), F.lit(" flag")))),
-                only_if(seg == "AUTOMOBILE", _feature("3", "Panama")),
+                _feature("9", "nation"),
+                _feature("9", "''"),
+                only_if(household, _feature("9", "region")),
+                only_if("region != 'MIDDLE EAST'", _feature("8", birth)),
+                only_if(machinery, _feature("8", "'circa 1965'")),
+                only_if("seg != 'FURNITURE'", _feature("224", sex)),
+                only_if(household, _feature("10", "nation")),
+                only_if(household, _feature("10", "region")),
+                only_if(machinery, _feature("10", "nation || ' ; x'")),
+                only_if(automobile, _feature("10", "nation")),
+                only_if(automobile, _feature("10", "nation")),
+                only_if(f"{building} AND bal > 3000", _feature("3", "nation || ' flag'")),
+                only_if(automobile, _feature("3", "'Panama'")),
             )
         ),
         addresses=only_if(
-            ~((seg == "FURNITURE") & (region == "ASIA")),
-            element(address=some(element(country=""), element(country=region),
-                                 element(country=c("nation")))),
+            "NOT (seg = 'FURNITURE' AND region = 'ASIA')",
+            element(address=several(
+                element(country="''"), element(country="region"), element(country="nation")
+            )),
         ),
         identityDocuments=element(
-            identityDocument=F.when(
-                seg == "HOUSEHOLD",
-                F.array(
-                    _document("1571", F.concat(F.lit("P"), c("key").cast("string"))),
-                    _document("1584", ""),
-                    element(type=F.lit(None).cast("struct<_refId:string,_VALUE:string>"),
-                            documentNumber="X"),
-                    _document("9", F.concat(F.lit("Q"), c("key").cast("string"))),
-                    _document("1626", "R"),
-                ),
-            ).when(seg == "MACHINERY",
-                   F.array(_document("91264", F.concat(F.lit("M"), c("key").cast("string")))))
+            identityDocument=some(
+                only_if(household, _document("'1571'", "'P' || key")),
+                only_if(household, _document("'1584'", "''")),
+                only_if(household, element(type=no_type, documentNumber="'X'")),
+                only_if(household, _document("'9'", "'Q' || key")),
+                only_if(household, _document("'1626'", "'R'")),
+                only_if(machinery, _document("'91264'", "'M' || key")),
+            )
         ),
         sanctionsLists=only_if(
-            seg != "AUTOMOBILE",
-            element(
-                sanctionsList=F.array(
-                    element(
-                        _datePublished=F.when(region == "AFRICA", "2024-1-5")
-                        .when(region == "AMERICA", "05/01/2024")
-                        .when(region == "EUROPE", "2024-02-30")
-                        .when(region == "MIDDLE EAST", "2024-12-31"),
-                        _VALUE="list",
-                    )
-                )
-            ),
+            "seg != 'AUTOMOBILE'",
+            element(sanctionsList=several(element(_datePublished=published, _VALUE="'list'"))),
         ),
         sanctionsPrograms=element(
-            sanctionsProgram=F.when(seg == "HOUSEHOLD", _programs("91901", "91902", "7"))
-            .when(seg == "MACHINERY", _programs("1560"))
-            .when(seg == "BUILDING", _programs(None))
+            sanctionsProgram=some(
+                only_if(household, _program("'91901'")),
+                only_if(household, _program("'91902'")),
+                only_if(household, _program("'7'")),
+                only_if(machinery, _program("'1560'")),
+                only_if(building, _program(NULL)),
+            )
         ),
     )
-    return customers(spark, sf_dir).select("key", "seg", xml(record, "entity").alias("xml"))
+    return customers(spark, sf_dir).selectExpr("key", "seg", record)
 
 
 def birth_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One entity per order, with one to three birth values from its date."""
-    day, priority = F.col("day"), F.col("priority")
-    named, iso = F.date_format(day, "d MMM yyyy"), F.date_format(day, "yyyy-MM-dd")
-    circa = F.concat(F.lit("circa "), F.year(day).cast("string"))
-    births = some(
-        only_if(priority.isin("1-URGENT", "3-MEDIUM"), _feature("8", named)),
-        only_if(priority == "2-HIGH", _feature("8", iso)),
-        only_if(priority == "3-MEDIUM", _feature("8", "circa 1900, maybe 1901")),
-        only_if(priority == "4-NOT SPECIFIED", _feature("8", circa)),
-        only_if(F.col("status") == "P", _feature("8", "unknown")),
-        only_if(F.col("status") == "P", _feature("8", "")),
-    )
-    record = element(
-        _action="add",
-        names=element(name=F.array(_name("true", F.concat(F.lit("Party "), F.col("key").cast("string"))))),
-        features=element(feature=births),
+    record = xml(
+        "entity",
+        _action="'add'",
+        names=_named("'Party ' || key"),
+        features=element(
+            feature=some(
+                only_if("priority IN ('1-URGENT', '3-MEDIUM')",
+                        _feature("8", "date_format(day, 'd MMM yyyy')")),
+                only_if("priority = '2-HIGH'", _feature("8", "date_format(day, 'yyyy-MM-dd')")),
+                only_if("priority = '3-MEDIUM'", _feature("8", "'circa 1900, maybe 1901'")),
+                only_if("priority = '4-NOT SPECIFIED'", _feature("8", "'circa ' || year(day)")),
+                only_if("status = 'P'", _feature("8", "'unknown'")),
+                only_if("status = 'P'", _feature("8", "''")),
+            )
+        ),
     )
-    return orders(spark, sf_dir).select("key", xml(record, "entity").alias("xml"))
+    return orders(spark, sf_dir).selectExpr("key", record)
 
 
 def document_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One entity per part, with up to four identity documents."""
-    size, kind = F.col("p_size"), F.col("p_type")
-    number = F.concat(F.col("p_brand"), F.lit("/"), F.col("p_partkey").cast("string"))
-    documents = some(
-        only_if(kind == "PROMO", _document("1584", "")),
-        only_if(size < 40, _document("1608", number)),
-        only_if(kind.isin("SMALL", "LARGE"), _document(None, "N")),
-        only_if(size < 25, _document(size.cast("string"), F.col("p_name"))),
-        only_if(kind == "ECONOMY", _document("91761", F.upper("p_name"))),
-    )
-    record = element(
-        _action="add",
-        names=element(name=F.array(_name("true", F.col("p_name")))),
-        identityDocuments=element(identityDocument=documents),
-    )
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("key"), xml(record, "entity").alias("xml")
+    """One entity per part, with up to five identity documents."""
+    record = xml(
+        "entity",
+        _action="'add'",
+        names=_named("p_name"),
+        identityDocuments=element(
+            identityDocument=some(
+                only_if("p_type = 'PROMO'", _document("'1584'", "''")),
+                only_if("p_size < 40", _document("'1608'", "p_brand || '/' || p_partkey")),
+                only_if("p_type IN ('SMALL', 'LARGE')", _document(NULL, "'N'")),
+                only_if("p_size < 25", _document("CAST(p_size AS STRING)", "p_name")),
+                only_if("p_type = 'ECONOMY'", _document("'91761'", "upper(p_name)")),
+            )
+        ),
     )
+    return wide_table(spark, sf_dir, "part").selectExpr("p_partkey AS key", record)
 
 
 def listing_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One entity per order, listed on its date in a good or bad format."""
-    day, priority = F.col("day"), F.col("priority")
-    published = (
-        F.when(priority == "1-URGENT", F.date_format(day, "yyyy-MM-dd"))
-        .when(priority == "2-HIGH", F.date_format(day, "yyyy-M-d"))
-        .when(priority == "3-MEDIUM", F.date_format(day, "dd/MM/yyyy"))
-        .when(priority == "4-NOT SPECIFIED", F.concat(F.date_format(day, "yyyy-MM-"), F.lit("31")))
-    )
-    record = element(
-        _action="add",
-        names=element(name=F.array(_name("true", F.concat(F.lit("Party "), F.col("key").cast("string"))))),
+    published = """CASE priority WHEN '1-URGENT' THEN date_format(day, 'yyyy-MM-dd')
+      WHEN '2-HIGH' THEN date_format(day, 'yyyy-M-d')
+      WHEN '3-MEDIUM' THEN date_format(day, 'dd/MM/yyyy')
+      WHEN '4-NOT SPECIFIED' THEN date_format(day, 'yyyy-MM-') || '31' END"""
+    record = xml(
+        "entity",
+        _action="'add'",
+        names=_named("'Party ' || key"),
         sanctionsLists=only_if(
-            F.col("status") != "P",
-            element(sanctionsList=F.array(
-                element(_datePublished=published, _VALUE="first"),
-                element(_datePublished="1999-09-09", _VALUE="second"),
+            "status != 'P'",
+            element(sanctionsList=several(
+                element(_datePublished=published, _VALUE="'first'"),
+                element(_datePublished="'1999-09-09'", _VALUE="'second'"),
             )),
         ),
     )
-    return orders(spark, sf_dir).select("key", xml(record, "entity").alias("xml"))
+    return orders(spark, sf_dir).selectExpr("key", record)
 
 
 def program_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One entity per supplier, its programs chosen by nation and region."""
-    record = element(
-        _action="add",
-        names=element(name=F.array(_name("true", F.col("name")))),
-        sanctionsPrograms=element(
-            sanctionsProgram=F.when(F.col("region") != "ASIA", F.array(
-                element(_refId=(F.col("nk") + 1545).cast("string"), _VALUE="program"),
-                element(_refId="91901", _VALUE="program"),
-                element(_refId=F.when(F.col("bal") > 0, "91902"), _VALUE="program"),
-            ))
+    record = xml(
+        "entity",
+        _action="'add'",
+        names=_named("name"),
+        sanctionsPrograms=only_if(
+            "region != 'ASIA'",
+            element(sanctionsProgram=several(
+                _program("CAST(nk + 1545 AS STRING)"),
+                _program("'91901'"),
+                _program("CASE WHEN bal > 0 THEN '91902' END"),
+            )),
         ),
     )
-    return suppliers(spark, sf_dir).select("key", xml(record, "entity").alias("xml"))
+    return suppliers(spark, sf_dir).selectExpr("key", record)
 
 
 def flat(feed: DataFrame) -> DataFrame:
@@ -248,7 +236,7 @@ def q09b_program_join(spark, sf_dir):
 
 
 def q09c_document_type_join(spark, sf_dir):
-    codes = table(spark, sf_dir, "part").select(
+    codes = wide_table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("key"), (F.col("p_size") + 1560).cast("string").alias("code")
     )
     return decode_by_join(codes, "code", DOCUMENT_TYPES, "Doc Type ", "document_type")

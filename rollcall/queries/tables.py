@@ -3,23 +3,29 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollcall.sources.spread import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def wide_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table about to be parsed or built up at some cost per row."""
+    return spread(table(spark, sf_dir, name))
+
+
 def with_places(spark: SparkSession, sf_dir: str, df: DataFrame, nation_key: str) -> DataFrame:
     """Add ``nation`` and ``region`` names; Spark sizes the join sides itself."""
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    places = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        "n_nationkey", F.col("n_name").alias("nation"), F.col("r_name").alias("region")
+    nation = table(spark, sf_dir, "nation").withColumnRenamed("n_name", "nation")
+    region = table(spark, sf_dir, "region").withColumnRenamed("r_name", "region")
+    return df.join(nation, F.col(nation_key) == F.col("n_nationkey")).join(
+        region, F.col("n_regionkey") == F.col("r_regionkey")
     )
-    return df.join(places, F.col(nation_key) == F.col("n_nationkey"))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = with_places(spark, sf_dir, table(spark, sf_dir, "customer"), "c_nationkey")
+    df = with_places(spark, sf_dir, wide_table(spark, sf_dir, "customer"), "c_nationkey")
     return df.select(
         F.col("c_custkey").alias("key"), F.col("c_name").alias("name"),
         F.col("c_mktsegment").alias("seg"), F.col("c_acctbal").alias("bal"),
@@ -28,7 +34,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = with_places(spark, sf_dir, table(spark, sf_dir, "supplier"), "s_nationkey")
+    df = with_places(spark, sf_dir, wide_table(spark, sf_dir, "supplier"), "s_nationkey")
     return df.select(
         F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"),
         F.col("s_acctbal").alias("bal"), F.col("s_nationkey").alias("nk"), "nation", "region",
@@ -36,7 +42,7 @@ def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
+    return wide_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("status"),
         F.col("o_orderpriority").alias("priority"),
         F.col("o_orderdate").cast("date").alias("day"),
