@@ -7,10 +7,10 @@ values out of the table columns without any parsing.
 """
 
 from rollcall.queries import (
-    answers, consolidation, documents, feed, full_list, links,
+    answers, consolidation, documents, feed, full_list, links, reports,
 )
 
-_MODULES = (feed, full_list, documents, links, answers, consolidation)
+_MODULES = (feed, full_list, documents, links, answers, consolidation, reports)
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 CHECKS = {name: sql for m in _MODULES for name, sql in m.CHECKS.items()}
