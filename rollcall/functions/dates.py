@@ -14,7 +14,7 @@ from rollcall.functions.text import not_empty, or_empty, strip
 DAY = r"(?:3[01]|[12]\d|0[1-9]|[1-9]| [1-9])"
 MONTH = r"(?:1[0-2]|0[1-9]|[1-9])"
 MONTH_NAME = r"(?i:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)"
-YEAR = r"\d{4}"
+YEAR = r"(?!0000)\d{4}"
 
 NAMED = rf"^{DAY}\s+{MONTH_NAME}\s+{YEAR}\z"
 ISO = rf"^{YEAR}-{MONTH}-{DAY}\z"

@@ -1,6 +1,8 @@
 """Text expressions."""
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -57,17 +59,13 @@ def lookup(code: Column, table: Mapping[str, str], miss_prefix: str) -> Column:
 
 
 def contains_any(lowered: Column, words: Sequence[str]) -> Column:
-    hit = F.lit(False)
-    for w in words:
-        hit = hit | lowered.contains(w)
-    return hit
+    """True if one word occurs; a word holding another listed word adds nothing."""
+    telling = [w for w in words if not any(o != w and o in w for o in words)]
+    return reduce(or_, [lowered.contains(w) for w in telling])
 
 
 def contains_all(lowered: Column, words: Sequence[str]) -> Column:
-    hit = F.lit(True)
-    for w in words:
-        hit = hit & lowered.contains(w)
-    return hit
+    return reduce(and_, [lowered.contains(w) for w in words])
 
 
 def null_tokens(c: Column) -> Column:

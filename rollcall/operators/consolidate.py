@@ -54,15 +54,23 @@ def recognise_files(rows: DataFrame) -> DataFrame:
     return first_rows(rows).select(SRC_FILE, kind.alias("kind"))
 
 
-def label_files(rows: DataFrame) -> DataFrame:
-    """Overwrite Watchlist with one label per file."""
+def file_labels(rows: DataFrame) -> DataFrame:
+    """(src_file, file_watchlist): one label per file."""
     label = labels.file_label(F.col(SRC_FILE), F.col("Source"), F.col("Watchlist"))
-    per_file = first_rows(rows).select(SRC_FILE, label.alias("file_watchlist"))
+    return first_rows(rows).select(SRC_FILE, label.alias("file_watchlist"))
+
+
+def with_labels(rows: DataFrame, per_file: DataFrame) -> DataFrame:
+    """Overwrite Watchlist with the label of the row's file."""
     return join_small(rows.drop("Watchlist"), per_file, SRC_FILE, ROW_POS).withColumnRenamed(
         "file_watchlist", "Watchlist"
     )
 
 
+def label_files(rows: DataFrame) -> DataFrame:
+    return with_labels(rows, file_labels(rows))
+
+
 def normalise(rows: DataFrame, strict: bool = False) -> DataFrame:
     """Standard birth dates and list labels, for whichever column is there."""
     changed = {}
@@ -97,7 +105,12 @@ def consolidate(rows: DataFrame, normalised: bool = True, strict: bool = False)
     ``normalised`` is the batch job: labels per file, standard dates and
     labels, sorted by name. Without it rows are only deduplicated, as the
     interactive job does; the caller's ``src_rank`` decides who comes first.
+
+    Who is kept depends on names and places alone, so labels and dates are
+    worked out after the dedupe, for the rows that remain. The labels
+    themselves come from all rows, whose first ones may be dropped.
     """
+    kept = keep_first(rows)
     if not normalised:
-        return keep_first(rows)
-    return sort_by_name(keep_first(normalise(label_files(rows), strict)))
+        return kept
+    return sort_by_name(normalise(with_labels(kept, file_labels(rows)), strict))

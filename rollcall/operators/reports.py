@@ -21,18 +21,28 @@ def _counts(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return _long(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _present(counted: DataFrame) -> DataFrame:
+    """Counts of real values only.
+
+    The test also names the count, or it would be pushed below the grouping
+    and make a second scan out of two readings of the same counts.
+    """
+    return counted.filter(F.col("value").isNotNull() | (F.col("n") < 0))
+
+
 def value_counts(df: DataFrame, *columns: str) -> DataFrame:
     """Rows per value, missing values left out, most frequent first."""
-    counted = _counts(df, columns).filter(F.col("value").isNotNull())
+    long = _long(df, columns).filter(F.col("value").isNotNull())
+    counted = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     return counted.orderBy("column", F.desc("n"), "value")
 
 
 def distribution(df: DataFrame, *columns: str) -> DataFrame:
     """Value counts with their share of *all* rows, missing ones included."""
     counted = _counts(df, columns)
-    total = counted.filter(F.col("column") == columns[0]).agg(F.sum("n")).scalar()
-    return counted.filter(F.col("value").isNotNull()).select(
-        "column", "value", "n", (F.col("n") / total * 100).alias("pct")
+    rows = counted.agg(F.sum("n") / len(columns)).scalar()
+    return _present(counted).select(
+        "column", "value", "n", (F.col("n") / rows * 100).alias("pct")
     )
 
 
@@ -43,7 +53,7 @@ def top_values(df: DataFrame, column: str, k: int = fv.TOP_VALUES) -> DataFrame:
         .groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     )
     top = counted.orderBy(F.desc("n"), "value").limit(k)
-    others = counted.agg((F.count(F.lit(1)) - k).alias("n")).filter(F.col("n") > 0)
+    others = counted.agg((F.count_if(F.col("n") > 0) - k).alias("n")).filter(F.col("n") > 0)
     return top.select(F.lit("value").alias("kind"), "value", "n").unionByName(
         others.select(F.lit("other values").alias("kind"), F.lit(None).cast("string").alias("value"), "n")
     )

@@ -14,7 +14,7 @@ from rollcall.queries.tables import table
 
 def q34_distribution_pct(spark, sf_dir):
     """Shares of the consolidated table; it is computed once, then counted."""
-    kept = materialise(op.keep_first(op.normalise(op.label_files(_parties(spark, sf_dir)))))
+    kept = materialise(op.consolidate(_parties(spark, sf_dir)).select("Type", "Watchlist"))
     return reports.distribution(kept, "Type", "Watchlist")
 
 
@@ -45,9 +45,9 @@ def q36b_rows_by_source(spark, sf_dir):
 
 
 def q36c_summary_record(spark, sf_dir):
-    labelled = materialise(op.normalise(op.label_files(_parties(spark, sf_dir))))
-    kept = materialise(op.keep_first(labelled).select("Type", "Watchlist"))
-    return reports.summary_record(labelled, kept)
+    rows = materialise(_parties(spark, sf_dir))
+    kept = materialise(op.consolidate(rows).select("Type", "Watchlist"))
+    return reports.summary_record(rows, kept)
 
 
 def _log(spark, sf_dir):

@@ -11,8 +11,7 @@ DOCUMENT_GLOB = "*{" + ",".join(DOCUMENT_SUFFIXES) + "}"
 def read_documents(spark: SparkSession, directory: str) -> DataFrame:
     """One row per document of a directory, sub-directories left out."""
     return (
-        spark.read.option("wholetext", True).option("pathGlobFilter", DOCUMENT_GLOB)
-        .text(directory)
+        spark.read.option("pathGlobFilter", DOCUMENT_GLOB).text(directory, wholetext=True)
         .select(
             F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_name").alias("file_name"),
@@ -34,15 +33,24 @@ def read_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame
     )
 
 
-def write_encoded(encoded: DataFrame, directory: str, mode: str = "error") -> None:
-    """Contents to Parquet, and to JSON all metadata with the name of the content row.
+def write_encoded(encoded: DataFrame, directory: str, mode: str = "error") -> DataFrame:
+    """Write results to Parquet, then the metadata of the good ones to JSON.
 
-    One table replaces a pair of files per document: a million documents stay
-    a handful of files. Each row names the text file it stands for.
+    One table stands for the pair of files per document, so a million
+    documents stay a handful of files; each row names the pair it stands for.
+    The metadata is read back from the table, so nothing is encoded twice.
+    Returns the written results, failures included.
     """
     stem = F.regexp_replace("file_name", r"\.[^.]*\z", "")
-    named = encoded.filter("success").withColumn("base64_file", F.concat(stem, F.lit("_base64.txt")))
-    named.select("base64_file", "base64_content").write.mode(mode).parquet(f"{directory}/base64")
-    named.drop("base64_content", "error").withColumn(
-        "metadata_file", F.concat(stem, F.lit("_metadata.json"))
-    ).write.mode(mode).json(f"{directory}/metadata")
+    named = encoded.withColumns(
+        {
+            "base64_file": F.when(F.col("success"), F.concat(stem, F.lit("_base64.txt"))),
+            "metadata_file": F.when(F.col("success"), F.concat(stem, F.lit("_metadata.json"))),
+        }
+    )
+    named.write.mode(mode).parquet(f"{directory}/base64")
+    written = encoded.sparkSession.read.parquet(f"{directory}/base64")
+    written.filter("success").drop("base64_content", "error").write.mode(mode).json(
+        f"{directory}/metadata"
+    )
+    return written

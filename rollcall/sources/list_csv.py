@@ -1,5 +1,6 @@
 """List exports as CSV: one scan for files whose columns differ."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,17 +19,21 @@ CSV_WRITE = {"header": "true", "escape": '"', "encoding": "UTF-8", "emptyValue":
 
 ALL_COLUMNS = tuple(dict.fromkeys(fv.FEED_COLUMNS + fv.LIST_COLUMNS))
 SCAN_WIDTH = 256
+EXPORT_NAME = rf"((?:{fv.CLEANED_PREFIX}|{fv.REGULATION_PREFIX})[^/]*)"
 
 
 def scan_records(spark: SparkSession, paths) -> DataFrame:
     """Every record of every file as an array of texts, with its place.
 
     Headers are records like any other here, so files of all shapes share one
-    scan and no schema is inferred.
+    scan and no schema is inferred. ``src_file`` is the export a record belongs
+    to: a CSV file, or a directory of parts that Spark wrote under that name.
     """
     names = [f"c{i}" for i in range(SCAN_WIDTH)]
     raw = spark.read.schema(strings(names)).options(**CSV_READ).csv(paths)
+    part = F.col("_metadata.file_path")
     place = F.struct(
+        part.alias("part"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
@@ -37,36 +42,35 @@ def scan_records(spark: SparkSession, paths) -> DataFrame:
         F.transform(fields, lambda v, i: F.when(v.isNotNull(), i + 1)), lambda i: i.isNotNull()
     )
     return raw.select(
-        F.col("_metadata.file_name").alias(SRC_FILE),
+        F.regexp_extract(part, EXPORT_NAME, 1).alias(SRC_FILE),
+        part.alias("part"),
         place.alias(ROW_POS),
         F.coalesce(F.try_element_at(filled, F.lit(-1)), F.lit(0)).alias("width"),
         fields.alias("fields"),
     ).withColumn("fields", F.slice("fields", F.lit(1), F.greatest("width", F.lit(1))))
 
 
-def file_facts(records: DataFrame) -> DataFrame:
-    """Per file its header and whether any record is wider than that header."""
+def part_facts(records: DataFrame) -> DataFrame:
+    """Per physical file its header and whether a record is wider than it."""
     header = F.transform(F.col("header"), lambda h: F.replace(h, F.lit("\ufeff"), F.lit("")))
-    return records.groupBy(SRC_FILE).agg(
+    return records.groupBy(SRC_FILE, "part").agg(
         F.min(ROW_POS).alias("head_pos"),
         F.min_by("fields", ROW_POS).alias("header"),
         F.max("width").alias("widest"),
     ).select(
-        SRC_FILE, "head_pos", header.alias("header"),
+        SRC_FILE, "part", "head_pos", header.alias("header"),
         (F.col("widest") <= F.size("header")).alias("readable"),
     )
 
 
-def read_list_csv(
-    spark: SparkSession, paths, columns=ALL_COLUMNS
-) -> DataFrame:
+def read_list_csv(spark: SparkSession, paths, columns=ALL_COLUMNS) -> DataFrame:
     """Rows of all readable files under ``columns``, matched by header name.
 
     Files with nothing but a header add no rows. A file with a record wider
     than its header is left out whole; :func:`unreadable_files` names it.
     """
     records = scan_records(spark, paths)
-    rows = join_small(records, file_facts(records), SRC_FILE, ROW_POS)
+    rows = join_small(records, part_facts(records).drop(SRC_FILE), "part", ROW_POS)
     data = rows.filter("readable").filter(F.col(ROW_POS) != F.col("head_pos"))
     named = [null_tokens(field_of(F.col("fields"), F.col("header"), c)).alias(c) for c in columns]
     family = F.when(F.col(SRC_FILE).startswith(fv.CLEANED_PREFIX), 0).otherwise(1)
@@ -74,12 +78,21 @@ def read_list_csv(
 
 
 def unreadable_files(spark: SparkSession, paths) -> DataFrame:
-    return file_facts(scan_records(spark, paths)).filter(~F.col("readable")).select(SRC_FILE)
+    return part_facts(scan_records(spark, paths)).filter(~F.col("readable")).select(SRC_FILE)
 
 
-def list_globs(directory: str) -> list[str]:
-    """The two families of list exports in a directory."""
-    return [f"{directory}/{p}*.csv" for p in (fv.CLEANED_PREFIX, fv.REGULATION_PREFIX)]
+def list_exports(spark: SparkSession, directory: str) -> list[str]:
+    """Globs of the families of list exports that a directory holds."""
+
+    def held(glob: str) -> bool:
+        try:
+            spark.read.text(glob)
+        except AnalysisException:
+            return False
+        return True
+
+    globs = [f"{directory}/{p}*.csv" for p in (fv.CLEANED_PREFIX, fv.REGULATION_PREFIX)]
+    return [g for g in globs if held(g)]
 
 
 def write_list_csv(df: DataFrame, path: str, mode: str = "error") -> None:
