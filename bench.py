@@ -31,6 +31,8 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": cpus,
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
             "spark.driver.host": "127.0.0.1",
             "spark.driver.bindAddress": "127.0.0.1",

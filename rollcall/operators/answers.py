@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from rollcall.fixed_values import FEED_COLUMNS
 from rollcall.functions.csvtext import csv_fields, csv_records, field_of
 from rollcall.functions.text import null_tokens, strip_fences
+from rollcall.operators.rows import explode_once
 
 
 def header_fields(answer: Column) -> Column:
@@ -36,8 +37,8 @@ def answer_rows(df: DataFrame, answer: str, source: str, *keep: str) -> DataFram
     )
     header = csv_fields(F.get("records", F.lit(0)))
     body = F.slice("records", F.lit(2), F.greatest(F.size("records"), F.lit(1)))
-    rows = cleaned.select(
-        *keep, "Source_File", header.alias("header"), F.posexplode(body).alias("row_pos", "record")
+    rows = explode_once(
+        cleaned, body, "row_pos", "record", *keep, "Source_File", header.alias("header")
     ).withColumn("fields", csv_fields(F.col("record")))
     named = [
         null_tokens(field_of(F.col("fields"), F.col("header"), c)).alias(c) for c in FEED_COLUMNS

@@ -11,6 +11,7 @@ from rollcall import fixed_values as fv
 from rollcall.functions.text import byte_count, line_count, preview, readable_size
 
 ENCODING = "utf-8"
+ALPHABET_ONLY = r"^[A-Za-z0-9+/]*+={0,2}\z"
 
 
 def to_base64(text: Column) -> Column:
@@ -75,15 +76,26 @@ def decode(df: DataFrame, encoded: str = "base64_content") -> DataFrame:
 
     Characters outside the alphabet are skipped, as lenient decoders do.
     """
-    letters = F.regexp_replace(F.col(encoded), "[^A-Za-z0-9+/=]", "")
-    raw = F.when(F.length(letters) % 4 == 0, F.try_to_binary(letters, F.lit("base64")))
-    text = F.try_validate_utf8(raw.cast("string"))
+    given = F.col(encoded)
+    letters = F.when(given.rlike(ALPHABET_ONLY), given).otherwise(
+        F.regexp_replace(given, "[^A-Za-z0-9+/=]+", "")
+    )
+    raw = F.when(
+        F.length("letters") % 4 == 0, F.try_to_binary(F.col("letters"), F.lit("base64"))
+    )
+    decoded = F.col("decoded_content")
     return (
-        df.withColumn("decoded_content", text)
-        .withColumn("success", F.col("decoded_content").isNotNull())
-        .withColumn("decoded_size_bytes", byte_count(F.col("decoded_content")))
-        .withColumn("decoded_size_readable", readable_size(F.col("decoded_size_bytes")))
-        .withColumn("decoded_lines", line_count(F.col("decoded_content")))
+        df.withColumn("letters", letters)
+        .withColumn("decoded_content", F.try_validate_utf8(raw.cast("string")))
+        .drop("letters")
+        .withColumns(
+            {
+                "success": decoded.isNotNull(),
+                "decoded_size_bytes": byte_count(decoded),
+                "decoded_size_readable": readable_size(byte_count(decoded)),
+                "decoded_lines": line_count(decoded),
+            }
+        )
     )
 
 

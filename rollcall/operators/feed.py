@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rollcall import fixed_values as fv
 from rollcall.functions import dates
 from rollcall.functions.text import (
-    join_items, kept, lookup, no_strings, not_empty, or_empty, strip,
+    join_items, kept, lookup, not_empty, or_empty, strip,
 )
 
 
@@ -25,36 +25,38 @@ def entity_type(element: Column) -> Column:
     ).otherwise(F.lit(""))
 
 
-def _full_names(names: Column) -> Column:
-    """All non-empty spellings of the given names, in document order."""
-    per_name = F.transform(
-        names,
-        lambda n: F.coalesce(
-            F.transform(n["translations"]["translation"], lambda t: t["formattedFullName"]),
-            no_strings(),
-        ),
-    )
-    return kept(F.flatten(per_name))
+PRIMARY = "coalesce(n.isPrimary = 'true', false)"
 
 
-def _is_primary(name: Column) -> Column:
-    return F.coalesce(name["isPrimary"] == "true", F.lit(False))
+def _full_names(which: str) -> Column:
+    """All non-empty spellings of the chosen names, in document order."""
+    return F.expr(f"""
+      filter(
+        flatten(transform(
+          filter(coalesce(names.name, array()), n -> {which}),
+          n -> coalesce(transform(n.translations.translation, t -> t.formattedFullName), array()))),
+        s -> length(s) > 0)
+    """)
 
 
-def primary_name(names: Column) -> Column:
+def primary_name() -> Column:
     """First spelling of a primary name; further primary spellings are dropped."""
-    return or_empty(F.get(_full_names(F.filter(names, _is_primary)), F.lit(0)))
+    return or_empty(F.get(_full_names(PRIMARY), F.lit(0)))
 
 
-def aliases(names: Column) -> Column:
+def aliases() -> Column:
     """Every spelling of every other name, repeats included."""
-    return join_items(_full_names(F.filter(names, lambda n: ~_is_primary(n))))
+    return join_items(_full_names(f"NOT {PRIMARY}"))
 
 
-def feature_values(features: Column, type_id: str) -> Column:
+def feature_values(type_id: str) -> Column:
     """The non-empty values of one feature type, in document order."""
-    chosen = F.filter(features, lambda f: f["type"]["_featureTypeId"] == type_id)
-    return kept(F.transform(chosen, lambda f: f["value"]))
+    return F.expr(f"""
+      transform(
+        filter(coalesce(features.feature, array()),
+               f -> f.type._featureTypeId = '{type_id}' AND length(f.value) > 0),
+        f -> f.value)
+    """)
 
 
 def last_value(values: Column) -> Column:
@@ -69,7 +71,7 @@ def gender(value: Column) -> Column:
 def country(type_name: Column, flag: Column, nationalities: Column, addresses: Column) -> Column:
     """A vessel's flag, else the first nationality, else the first address."""
     first_nationality = strip(F.split_part(join_items(nationalities), F.lit(";"), F.lit(1)))
-    first_address = F.get(kept(F.transform(addresses, lambda a: a["country"])), F.lit(0))
+    first_address = F.get(kept(addresses["country"]), F.lit(0))
     return (
         F.when((type_name == "Vessel") & not_empty(flag), flag)
         .when(F.size(nationalities) > 0, first_nationality)
@@ -97,12 +99,12 @@ def flatten_feed(entities: DataFrame, *keep: str) -> DataFrame:
     parts = added_only(entities).select(
         *keep,
         entity_type(F.col("generalInfo.entityType")).alias("type_name"),
-        F.col("names.name").alias("names"),
-        feature_values(F.col("features.feature"), fv.FEATURE_BIRTH_DATE).alias("births"),
-        feature_values(F.col("features.feature"), fv.FEATURE_BIRTH_PLACE).alias("places"),
-        feature_values(F.col("features.feature"), fv.FEATURE_GENDER).alias("genders"),
-        feature_values(F.col("features.feature"), fv.FEATURE_NATIONALITY).alias("nationalities"),
-        feature_values(F.col("features.feature"), fv.FEATURE_VESSEL_FLAG).alias("flags"),
+        "names",
+        feature_values(fv.FEATURE_BIRTH_DATE).alias("births"),
+        feature_values(fv.FEATURE_BIRTH_PLACE).alias("places"),
+        feature_values(fv.FEATURE_GENDER).alias("genders"),
+        feature_values(fv.FEATURE_NATIONALITY).alias("nationalities"),
+        feature_values(fv.FEATURE_VESSEL_FLAG).alias("flags"),
         F.col("addresses.address").alias("addresses"),
         usable_documents(F.col("identityDocuments.identityDocument")).alias("documents"),
         F.get(F.col("sanctionsLists.sanctionsList"), F.lit(0)).alias("listing"),
@@ -116,8 +118,8 @@ def flatten_feed(entities: DataFrame, *keep: str) -> DataFrame:
     listed = F.col("listing").isNotNull()
     flat = parts.select(
         *keep,
-        primary_name(F.col("names")).alias("Name"),
-        aliases(F.col("names")).alias("Aliases"),
+        primary_name().alias("Name"),
+        aliases().alias("Aliases"),
         F.col("type_name").alias("Type"),
         last_value(F.col("births")).alias("Date of Birth"),
         last_value(F.col("places")).alias("Place of Birth"),

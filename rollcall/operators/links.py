@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rollcall import fixed_values as fv
 from rollcall.functions.text import contains_all, contains_any, not_empty, strip
+from rollcall.operators.rows import explode_once
 
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
 OPEN_ANCHOR = r"(?i)<a\s"
@@ -53,9 +54,8 @@ def anchors(html: Column) -> Column:
 
 def page_links(pages: DataFrame, html: str, *keep: str) -> DataFrame:
     """One row per anchor: (pos, href, text)."""
-    return pages.select(*keep, F.posexplode(anchors(F.col(html))).alias("pos", "a")).select(
-        *keep, "pos", "a.href", "a.text"
-    )
+    found = explode_once(pages, anchors(F.col(html)), "pos", "a", *keep)
+    return found.select(*keep, "pos", "a.href", "a.text")
 
 
 def _without_dots(path: Column) -> Column:
@@ -93,27 +93,31 @@ def resolve(href: Column, page_url: Column) -> Column:
     )
 
 
-def best_link(
+def _candidates(
     pages: DataFrame, html: str, url: str, *keep: str,
     href_all: Sequence[str] = fv.LINK_HREF_ALL, href_any: Sequence[str] = fv.LINK_HREF_ANY,
     text_all: Sequence[str] = fv.LINK_TEXT_ALL, text_any: Sequence[str] = fv.LINK_TEXT_ANY,
 ) -> DataFrame:
-    """(link, found_by): the first anchor whose address fits, else whose text fits."""
+    """(anchors, by_href, by_text) per page, the last two '' or null on a miss."""
+
+    def first_fit(field: str, needed, one_of) -> Column:
+        def fits(a: Column) -> Column:
+            lowered = F.lower(a[field])
+            return contains_all(lowered, needed) & contains_any(lowered, one_of)
+
+        return F.get(F.filter("anchors", fits), F.lit(0))["href"]
 
-    def fits(c: Column, needed, one_of) -> Column:
-        lowered = F.lower(c)
-        return contains_all(lowered, needed) & contains_any(lowered, one_of)
-
-    listed = pages.select(*keep, url, anchors(F.col(html)).alias("anchors"))
-    picked = listed.select(
-        *keep, url,
-        F.get(F.filter("anchors", lambda a: fits(a["href"], href_all, href_any)), F.lit(0))["href"]
-        .alias("by_href"),
-        F.get(F.filter("anchors", lambda a: fits(a["text"], text_all, text_any)), F.lit(0))["href"]
-        .alias("by_text"),
+    return pages.select(*keep, url, anchors(F.col(html)).alias("anchors")).select(
+        *keep, url, "anchors",
+        first_fit("href", href_all, href_any).alias("by_href"),
+        first_fit("text", text_all, text_any).alias("by_text"),
     )
+
+
+def best_link(pages: DataFrame, html: str, url: str, *keep: str, **needles) -> DataFrame:
+    """(link, found_by): the first anchor whose address fits, else whose text fits."""
     first = F.coalesce(F.nullif("by_href", F.lit("")), F.nullif("by_text", F.lit("")))
-    return picked.select(
+    return _candidates(pages, html, url, *keep, **needles).select(
         *keep,
         resolve(first, F.col(url)).alias("link"),
         F.when(not_empty(F.col("by_href")), F.lit("href"))
@@ -121,9 +125,11 @@ def best_link(
     )
 
 
-def link_report(pages: DataFrame, html: str, *keep: str) -> DataFrame:
-    """The first few anchors of each page, texts cut: what to look at on a miss."""
-    some = F.slice(anchors(F.col(html)), F.lit(1), F.lit(fv.LINK_REPORT_ROWS))
-    return pages.select(*keep, F.posexplode(some).alias("pos", "a")).select(
+def missed_report(pages: DataFrame, html: str, url: str, *keep: str, **needles) -> DataFrame:
+    """For pages without a fitting link, their first few anchors, texts cut."""
+    missed = ~F.coalesce(not_empty(F.concat_ws("", "by_href", "by_text")), F.lit(False))
+    shown = F.when(missed, F.slice("anchors", F.lit(1), F.lit(fv.LINK_REPORT_ROWS)))
+    found = explode_once(_candidates(pages, html, url, *keep, **needles), shown, "pos", "a", *keep)
+    return found.select(
         *keep, "pos", "a.href", F.left("a.text", F.lit(fv.LINK_REPORT_CHARS)).alias("text")
     )

@@ -16,6 +16,7 @@ from rollcall import fixed_values as fv
 from rollcall.functions.dates import parse_any, parse_birth
 from rollcall.functions.markdown import pipe_cells, pipe_tables
 from rollcall.functions.text import strip
+from rollcall.operators.rows import explode_once
 
 # Words that tell what a row is about, tried in this order.
 TYPE_WORDS = {
@@ -40,15 +41,13 @@ NONE = "None"
 
 def table_rows(df: DataFrame, text: str, *keep: str) -> DataFrame:
     """One row per table row: (table_no, row_no, header, cells)."""
-    tables = df.select(*keep, F.posexplode(pipe_tables(F.col(text))).alias("table_no", "block"))
+    tables = explode_once(df, pipe_tables(F.col(text)), "table_no", "block", *keep)
     lines = tables.select(*keep, "table_no", F.split("block", "\n").alias("lines"))
     body = F.slice("lines", F.lit(3), F.size("lines"))
-    return lines.select(
+    header = pipe_cells(F.get("lines", F.lit(0))).alias("header")
+    return explode_once(lines, body, "row_no", "line", *keep, "table_no", header).select(
         *keep, F.col("table_no").cast("long").alias("table_no"),
-        pipe_cells(F.get("lines", F.lit(0))).alias("header"),
-        F.posexplode(body).alias("row_no", "line"),
-    ).select(
-        *keep, "table_no", F.col("row_no").cast("long").alias("row_no"), "header",
+        F.col("row_no").cast("long").alias("row_no"), "header",
         pipe_cells(F.col("line")).alias("cells"),
     )
 

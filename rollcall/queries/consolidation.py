@@ -7,6 +7,7 @@ from rollcall.functions.csvtext import csv_fields, csv_records, field_of
 from rollcall.functions.text import null_tokens
 from rollcall.operators import consolidate as op
 from rollcall.operators import reports
+from rollcall.operators.rows import explode_once
 from rollcall.queries.tables import (
     CUSTOMERS_SQL, ORDERS_SQL, SUPPLIERS_SQL, customers, orders, suppliers, wide_table,
 )
@@ -91,7 +92,7 @@ def q27_csv_union_scan(spark, sf_dir):
     parsed = files.select("key", csv_records(F.col("text")).alias("records"))
     header = csv_fields(F.get("records", F.lit(0)))
     body = F.slice("records", F.lit(2), F.greatest(F.size("records"), F.lit(1)))
-    rows = parsed.select("key", header.alias("header"), F.posexplode(body).alias("row_pos", "record"))
+    rows = explode_once(parsed, body, "row_pos", "record", "key", header.alias("header"))
     fields = csv_fields(F.col("record"))
     return rows.select(
         "key", "row_pos",

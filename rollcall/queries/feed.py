@@ -267,7 +267,7 @@ def q12_corrupt_records(spark, sf_dir):
         "key",
         F.col(CORRUPT_COLUMN).isNotNull().alias("corrupt"),
         F.coalesce(F.col(CORRUPT_COLUMN) == F.col("xml"), F.lit(False)).alias("text_kept"),
-        F.coalesce(op.primary_name(F.col("names.name")), F.lit("")).alias("Name"),
+        op.primary_name().alias("Name"),
     )
 
 

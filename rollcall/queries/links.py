@@ -21,10 +21,7 @@ def q22_page_links(spark, sf_dir):
 
 def q22b_link_report(spark, sf_dir):
     """Every page lacks an XML link, so every page is reported."""
-    missed = op.best_link(_pages(spark, sf_dir), "html", "url", "page_id", "html").filter(
-        F.col("link").isNull()
-    )
-    return op.link_report(missed, "html", "page_id")
+    return op.missed_report(_pages(spark, sf_dir), "html", "url", "page_id")
 
 
 def q23_page_best_link(spark, sf_dir):

@@ -6,8 +6,22 @@ from pyspark.sql import functions as F
 from rollcall.sources.spread import spread
 
 
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "pages": "page_id long, url string, html string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def wide_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -13,6 +13,8 @@ def make_session():
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "6g",
             "spark.driver.host": "127.0.0.1",
             "spark.driver.bindAddress": "127.0.0.1",

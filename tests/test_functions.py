@@ -379,7 +379,8 @@ def test_links(spark):
     assert tuple(links.best_link(by_text, "html", "url").first()) == ("https://site.org/en/list/get", "text")
     none = page.withColumn("html", F.lit("<a href='/a'>b</a>"))
     assert tuple(links.best_link(none, "html", "url").first()) == (None, None)
-    assert links.link_report(none, "html").count() == 1
+    assert [r["text"] for r in links.missed_report(none, "html", "url").collect()] == ["b"]
+    assert links.missed_report(page, "html", "url").isEmpty()
 
 
 def test_resolve_like_urljoin(spark):
