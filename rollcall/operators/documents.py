@@ -57,7 +57,7 @@ def encode_files(files: DataFrame) -> DataFrame:
         .withColumn("text", content)
         .select(
             "success",
-            F.when(~ok, F.lit("Encoding error: not valid UTF-8")).alias("error"),
+            F.when(~F.col("success"), F.lit("Encoding error: not valid UTF-8")).alias("error"),
             "file_path",
             "file_name",
             has_known_suffix(F.col("file_name")).alias("known_suffix"),

@@ -1,47 +1,64 @@
-"""Tables that ought to be small: kept once, and joined by their real size."""
+"""Results kept once, and joins that depend on how small a table really is."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; a local run may do without one."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for checkpoints; a local run may do without."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="rollcall-")
-    context.setCheckpointDir(folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="rollcall-"))
+        folder = context.getCheckpointDir()
+    return folder
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute once into the checkpoint folder and cut the lineage there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Compute once into a table in the shared folder and read from there.
 
+    The lineage ends at the table: losing executors later costs a re-read, not
+    a re-parse. Being Parquet, each reader takes only the columns it needs.
+    """
+    path = f"{shared_folder(df.sparkSession)}/rollcall/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def join_small(
-    df: DataFrame, small: DataFrame, key: str, salt_by: str, max_rows: int = BROADCAST_ROWS
+
+def fits_broadcast(known: DataFrame, max_bytes: int) -> bool:
+    """Measure a written table by its rows as text; an empty one fits."""
+    size = known.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
+    return (size or 0) <= max_bytes
+
+
+def join_known(
+    df: DataFrame, known: DataFrame, key: str, salt_by: str, max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Inner join with a table of one row per key, without moving hot keys whole.
+    """Inner join with a written table of one row per key, whatever the skew.
 
-    ``small`` is computed once and counted. Up to ``max_rows`` it is broadcast
-    and ``df`` stays where it is. Beyond that both sides are shuffled, with the
-    rows of each key dealt over several salts, so that a key holding a large
-    share of ``df`` does not end in one task.
+    Up to ``max_bytes`` the table is broadcast and ``df`` stays where it is.
+    Beyond that both sides are shuffled, with the rows of each key dealt over
+    several salts, so that a key holding a large share of ``df`` does not end
+    in one task.
     """
-    known = materialise(small)
-    if known.count() <= max_rows:
+    if fits_broadcast(known, max_bytes):
         return df.join(F.broadcast(known), key)
     salted = df.withColumn("salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int"))
     copies = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(copies, [key, "salt"]).drop("salt")
+
+
+def join_small(
+    df: DataFrame, small: DataFrame, key: str, salt_by: str, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """:func:`join_known` after computing ``small`` once."""
+    return join_known(df, materialise(small), key, salt_by, max_bytes)

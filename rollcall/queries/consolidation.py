@@ -38,7 +38,7 @@ def q26_date_converted_count(spark, sf_dir):
     return op.converted_dates(op.normalise(_dated(spark, sf_dir)))
 
 
-NUMBER = """CASE priority WHEN '1-URGENT' THEN year(day) || lpad(CAST(key AS STRING), 5, '0')
+NUMBER = """CASE priority WHEN '1-URGENT' THEN year(day) || lpad(CAST(key AS STRING), 12, '0')
   WHEN '2-HIGH' THEN CAST(key AS STRING) WHEN '3-MEDIUM' THEN year(day) || '0000'
   WHEN '4-NOT SPECIFIED' THEN year(day) || 'a' || key END"""
 

@@ -8,7 +8,7 @@ from rollcall import fixed_values as fv
 from rollcall.functions.csvtext import field_of
 from rollcall.functions.text import null_tokens
 from rollcall.operators.consolidate import ROW_POS, SRC_FILE, SRC_RANK
-from rollcall.operators.small_tables import join_small
+from rollcall.operators.small_tables import join_known, materialise
 from rollcall.schemas import strings
 
 CSV_READ = {
@@ -18,18 +18,19 @@ CSV_READ = {
 CSV_WRITE = {"header": "true", "escape": '"', "encoding": "UTF-8", "emptyValue": "", "nullValue": ""}
 
 ALL_COLUMNS = tuple(dict.fromkeys(fv.FEED_COLUMNS + fv.LIST_COLUMNS))
-SCAN_WIDTH = 256
+SCAN_WIDTH = 32
 EXPORT_NAME = rf"((?:{fv.CLEANED_PREFIX}|{fv.REGULATION_PREFIX})[^/]*)"
 
 
-def scan_records(spark: SparkSession, paths) -> DataFrame:
+def scan_records(spark: SparkSession, paths, width: int) -> DataFrame:
     """Every record of every file as an array of texts, with its place.
 
     Headers are records like any other here, so files of all shapes share one
     scan and no schema is inferred. ``src_file`` is the export a record belongs
     to: a CSV file, or a directory of parts that Spark wrote under that name.
+    Only the first ``width`` fields of a record are read.
     """
-    names = [f"c{i}" for i in range(SCAN_WIDTH)]
+    names = [f"c{i}" for i in range(width)]
     raw = spark.read.schema(strings(names)).options(**CSV_READ).csv(paths)
     part = F.col("_metadata.file_path")
     place = F.struct(
@@ -58,19 +59,30 @@ def part_facts(records: DataFrame) -> DataFrame:
         F.min_by("fields", ROW_POS).alias("header"),
         F.max("width").alias("widest"),
     ).select(
-        SRC_FILE, "part", "head_pos", header.alias("header"),
+        SRC_FILE, "part", "head_pos", "widest", header.alias("header"),
         (F.col("widest") <= F.size("header")).alias("readable"),
     )
 
 
+def scan_exports(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
+    """(records, part facts), read wide enough for the widest record there is."""
+    width = SCAN_WIDTH
+    while True:
+        records = scan_records(spark, paths, width)
+        facts = materialise(part_facts(records))
+        if facts.filter(F.col("widest") >= width).isEmpty():
+            return records, facts
+        width *= 8
+
+
 def read_list_csv(spark: SparkSession, paths, columns=ALL_COLUMNS) -> DataFrame:
     """Rows of all readable files under ``columns``, matched by header name.
 
     Files with nothing but a header add no rows. A file with a record wider
     than its header is left out whole; :func:`unreadable_files` names it.
     """
-    records = scan_records(spark, paths)
-    rows = join_small(records, part_facts(records).drop(SRC_FILE), "part", ROW_POS)
+    records, facts = scan_exports(spark, paths)
+    rows = join_known(records, facts.drop(SRC_FILE, "widest"), "part", ROW_POS)
     data = rows.filter("readable").filter(F.col(ROW_POS) != F.col("head_pos"))
     named = [null_tokens(field_of(F.col("fields"), F.col("header"), c)).alias(c) for c in columns]
     family = F.when(F.col(SRC_FILE).startswith(fv.CLEANED_PREFIX), 0).otherwise(1)
@@ -78,7 +90,8 @@ def read_list_csv(spark: SparkSession, paths, columns=ALL_COLUMNS) -> DataFrame:
 
 
 def unreadable_files(spark: SparkSession, paths) -> DataFrame:
-    return part_facts(scan_records(spark, paths)).filter(~F.col("readable")).select(SRC_FILE)
+    _, facts = scan_exports(spark, paths)
+    return facts.filter(~F.col("readable")).select(SRC_FILE)
 
 
 def list_exports(spark: SparkSession, directory: str) -> list[str]:

@@ -330,7 +330,7 @@ def test_hot_names_are_reduced_before_the_shuffle(spark):
 def test_join_beyond_the_broadcast_bound(spark):
     df = spark.range(5000).selectExpr("CASE WHEN id < 4000 THEN 'hot' ELSE 'k' || id % 50 END AS k", "id AS pos")
     small = df.select("k").distinct().withColumn("label", F.concat(F.lit("l-"), "k"))
-    near, far = (join_small(df, small, "k", "pos", max_rows=n) for n in (100, 5))
+    near, far = (join_small(df, small, "k", "pos", max_bytes=n) for n in (10_000, 50))
     assert near.count() == far.count() == 5000
     assert near.exceptAll(far.select(near.columns)).isEmpty()
     assert far.filter(F.col("label") != F.concat(F.lit("l-"), "k")).isEmpty()

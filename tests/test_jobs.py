@@ -165,6 +165,15 @@ def test_csv_scan(spark, tmp_path):
     assert [r[0] for r in list_csv.unreadable_files(spark, paths).collect()] == ["sanctions_from_2_t.csv"]
 
 
+def test_wide_exports(spark, tmp_path):
+    """Columns far beyond the first scan's width are still found by name."""
+    names = [f"x{i}" for i in range(300)] + ["Name"]
+    put(tmp_path, "sanctions_cleaned_w.csv", ",".join(names) + "\n" + "," * 300 + "far\n")
+    put(tmp_path, "sanctions_cleaned_n.csv", "Name\nnear\n")
+    rows = list_csv.read_list_csv(spark, list_csv.list_exports(spark, str(tmp_path)), ("Name",))
+    assert sorted(r["Name"] for r in rows.collect()) == ["far", "near"]
+
+
 def test_consolidate_directory(spark, tmp_path):
     done = jobs.consolidate_directory(spark, exports(tmp_path), str(tmp_path / "out"))
     got = [(r["Name"], r["Watchlist"], r["DOB_DJ"]) for r in done.table.collect()]
