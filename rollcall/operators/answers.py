@@ -4,8 +4,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.fixed_values import FEED_COLUMNS
-from rollcall.functions.csvtext import csv_fields, csv_records, field_of
-from rollcall.functions.text import null_tokens, strip_fences
+from rollcall.functions.csvtext import csv_fields, csv_records, fields_at, places_of, present
+from rollcall.functions.text import strip_fences
 from rollcall.operators.rows import explode_once
 
 
@@ -38,9 +38,10 @@ def answer_rows(df: DataFrame, answer: str, source: str, *keep: str) -> DataFram
     header = csv_fields(F.get("records", F.lit(0)))
     body = F.slice("records", F.lit(2), F.greatest(F.size("records"), F.lit(1)))
     rows = explode_once(
-        cleaned, body, "row_pos", "record", *keep, "Source_File", header.alias("header")
-    ).withColumn("fields", csv_fields(F.col("record")))
-    named = [
-        null_tokens(field_of(F.col("fields"), F.col("header"), c)).alias(c) for c in FEED_COLUMNS
-    ]
-    return rows.select(*keep, F.col("row_pos").cast("long").alias("row_pos"), *named, "Source_File")
+        cleaned, body, "row_pos", "record",
+        *keep, "Source_File", places_of(header, FEED_COLUMNS).alias("places"),
+    ).withColumn("fields", present(csv_fields(F.col("record"))))
+    return rows.select(
+        *keep, F.col("row_pos").cast("long").alias("row_pos"),
+        *fields_at("fields", "places", FEED_COLUMNS), "Source_File",
+    )

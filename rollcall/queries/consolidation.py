@@ -3,8 +3,7 @@
 from pyspark.sql import functions as F
 
 from rollcall.functions import dates, labels
-from rollcall.functions.csvtext import csv_fields, csv_records, field_of
-from rollcall.functions.text import null_tokens
+from rollcall.functions.csvtext import csv_fields, csv_records, fields_at, places_of, present
 from rollcall.operators import consolidate as op
 from rollcall.operators import reports
 from rollcall.operators.rows import explode_once
@@ -90,14 +89,13 @@ def q27_csv_union_scan(spark, sf_dir):
     """CSV texts of three shapes: with rows, header only, and empty."""
     files = wide_table(spark, sf_dir, "part").selectExpr("p_partkey AS key", f"{CSV_FILE} AS text")
     parsed = files.select("key", csv_records(F.col("text")).alias("records"))
-    header = csv_fields(F.get("records", F.lit(0)))
+    names = ("Name", "Type", "DOB_DJ", "Watchlist")
+    places = places_of(csv_fields(F.get("records", F.lit(0))), names)
     body = F.slice("records", F.lit(2), F.greatest(F.size("records"), F.lit(1)))
-    rows = explode_once(parsed, body, "row_pos", "record", "key", header.alias("header"))
-    fields = csv_fields(F.col("record"))
-    return rows.select(
-        "key", "row_pos",
-        *[null_tokens(field_of(fields, F.col("header"), c)).alias(c)
-          for c in ("Name", "Type", "DOB_DJ", "Watchlist")],
+    rows = explode_once(parsed, body, "row_pos", "record", "key", places.alias("places"))
+    fields = present(csv_fields(F.col("record")))
+    return rows.withColumn("fields", fields).select(
+        "key", "row_pos", *fields_at("fields", "places", names)
     )
 
 

@@ -5,8 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall import fixed_values as fv
-from rollcall.functions.csvtext import field_of
-from rollcall.functions.text import null_tokens
+from rollcall.functions.csvtext import fields_at, places_of, present
 from rollcall.operators.consolidate import ROW_POS, SRC_FILE, SRC_RANK
 from rollcall.operators.small_tables import join_known, materialise
 from rollcall.schemas import strings
@@ -82,9 +81,14 @@ def read_list_csv(spark: SparkSession, paths, columns=ALL_COLUMNS) -> DataFrame:
     than its header is left out whole; :func:`unreadable_files` names it.
     """
     records, facts = scan_exports(spark, paths)
-    rows = join_known(records, facts.drop(SRC_FILE, "widest"), "part", ROW_POS)
-    data = rows.filter("readable").filter(F.col(ROW_POS) != F.col("head_pos"))
-    named = [null_tokens(field_of(F.col("fields"), F.col("header"), c)).alias(c) for c in columns]
+    known = facts.select(
+        "part", "head_pos", "readable", places_of(F.col("header"), columns).alias("places")
+    )
+    rows = join_known(records, known, "part", ROW_POS)
+    data = rows.filter("readable").filter(F.col(ROW_POS) != F.col("head_pos")).withColumn(
+        "fields", present(F.col("fields"))
+    )
+    named = fields_at("fields", "places", columns)
     family = F.when(F.col(SRC_FILE).startswith(fv.CLEANED_PREFIX), 0).otherwise(1)
     return data.select(*named, family.alias(SRC_RANK), SRC_FILE, ROW_POS)
 
