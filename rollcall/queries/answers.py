@@ -83,8 +83,8 @@ QUERIES = {
 
 
 def _answer_row(part, pos, condition, **values):
-    fields = [f"""{values.get(c.replace(' ', '_'), 'NULL')} AS "{c}\"""" for c in FEED_COLUMNS]
-    return f"""SELECT p_partkey AS key, {pos} AS row_pos, {', '.join(fields)},
+    fields = [f"""{values.get(c.replace(' ', '_'), 'CAST(NULL AS VARCHAR)')} AS "{c}\"""" for c in FEED_COLUMNS]
+    return f"""SELECT p_partkey AS key, CAST({pos} AS BIGINT) AS row_pos, {', '.join(fields)},
       'reg_' || p_partkey || '.pdf' AS "Source_File" FROM {part} WHERE {condition}"""
 
 
@@ -117,7 +117,7 @@ _FIELDS = {
 def _field_row(kind, table_no, row_no):
     values = {"Watchlist": "'2025/' || (1000 + key)", **_FIELDS[kind]}
     fields = [f"""{values.get(c, "'None'")} AS "{c}\"""" for c in FEED_COLUMNS]
-    return f"SELECT key, {table_no} AS table_no, {row_no} AS row_no, {', '.join(fields)} FROM ({SUPPLIERS_SQL})"
+    return f"SELECT key, CAST({table_no} AS BIGINT) AS table_no, CAST({row_no} AS BIGINT) AS row_no, {', '.join(fields)} FROM ({SUPPLIERS_SQL})"
 
 
 _HEADER_1 = "Name~Registration Number~INN~Address~Date of listing~Reasons"
@@ -140,11 +140,11 @@ CHECKS = {
         ),
     ]),
     "q24b_answer_check": """
-      SELECT p_partkey AS key, CASE WHEN p_type = 'PROMO' THEN 16 ELSE 17 END AS header_fields,
+      SELECT p_partkey AS key, CAST(CASE WHEN p_type = 'PROMO' THEN 16 ELSE 17 END AS BIGINT) AS header_fields,
         p_type != 'PROMO' AS valid FROM part
     """,
     "q38_md_table_rows": f"""
-      SELECT key, 0 AS table_no, 0 AS row_no, 6 AS n_cells, '{_HEADER_1}' AS header,
+      SELECT key, CAST(0 AS BIGINT) AS table_no, CAST(0 AS BIGINT) AS row_no, CAST(6 AS BIGINT) AS n_cells, '{_HEADER_1}' AS header,
         name || ' Ltd ' || chr(1046) || '~' || key || '-77~' ||
         CASE WHEN bal > 0 THEN CAST(nk AS VARCHAR) ELSE '' END || '~Street 1, ' || nation || '~' ||
         (nk + 1) || '.7.2025~a | b' AS cells FROM ({SUPPLIERS_SQL})
