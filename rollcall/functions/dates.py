@@ -55,26 +55,31 @@ def slashed(d: Column) -> Column:
     return F.date_format(d, "dd/MM/yyyy")
 
 
-def birth_fields(values: Column) -> Column:
-    """Struct(day, year) over all birth-date values of a record.
+def dated_values(values: Column) -> Column:
+    """Birth-date values with the date each one holds, if any: (raw, d)."""
+    return F.transform(values, lambda v: F.struct(v.alias("raw"), parse_birth(v).alias("d")))
 
-    Each field is the last value that could set it, so the two may stem from
-    different values.
+
+def _last_set(arr: Column) -> Column:
+    return F.try_element_at(F.filter(arr, lambda v: v.isNotNull()), F.lit(-1))
+
+
+def birth_day(dated: Column) -> Column:
+    """The last full date among a record's birth-date values."""
+    return or_empty(slashed(_last_set(F.transform(dated, lambda x: x["d"]))))
+
+
+def birth_year(dated: Column) -> Column:
+    """The last year a value tells, by its date or as four digits.
+
+    Day and year may stem from different values.
     """
-    dated = F.transform(values, lambda v: F.struct(v.alias("raw"), parse_birth(v).alias("d")))
-    days = F.transform(dated, lambda x: slashed(x["d"]))
-    years = F.transform(
-        dated,
-        lambda x: F.coalesce(
-            F.year(x["d"]).cast("string"),
-            F.nullif(F.regexp_extract(x["raw"], BARE_YEAR, 1), F.lit("")),
-        ),
-    )
 
-    def last_set(arr: Column) -> Column:
-        return or_empty(F.try_element_at(F.filter(arr, lambda v: v.isNotNull()), F.lit(-1)))
+    def told(x: Column) -> Column:
+        digits = F.regexp_extract(x["raw"], BARE_YEAR, 1)
+        return F.coalesce(F.year(x["d"]).cast("string"), F.nullif(digits, F.lit("")))
 
-    return F.struct(last_set(days).alias("day"), last_set(years).alias("year"))
+    return or_empty(_last_set(F.transform(dated, told)))
 
 
 def listing_date(c: Column) -> Column:

@@ -109,7 +109,7 @@ def flatten_feed(entities: DataFrame, *keep: str) -> DataFrame:
         usable_documents(F.col("identityDocuments.identityDocument")).alias("documents"),
         F.get(F.col("sanctionsLists.sanctionsList"), F.lit(0)).alias("listing"),
         F.col("sanctionsPrograms.sanctionsProgram").alias("programs"),
-    ).withColumn("birth", dates.birth_fields(F.col("births")))
+    ).withColumn("dated", dates.dated_values(F.col("births")))
 
     def document(slot: int, field: Column) -> Column:
         return or_empty(F.when(F.size("documents") > slot, field))
@@ -137,7 +137,7 @@ def flatten_feed(entities: DataFrame, *keep: str) -> DataFrame:
         .otherwise(F.lit("")).alias("Date of listing"),
         F.when(listed, F.lit(fv.FEED_WATCHLIST)).otherwise(F.lit("")).alias("Watchlist"),
         join_items(program_names(F.col("programs"))).alias("Other info"),
-        F.col("birth.day").alias("DOB_DJ"),
-        F.col("birth.year").alias("DOB_YEAR"),
+        dates.birth_day(F.col("dated")).alias("DOB_DJ"),
+        dates.birth_year(F.col("dated")).alias("DOB_YEAR"),
     )
     return flat.filter(not_empty(F.col("Name")))

@@ -32,11 +32,14 @@ def unescape(c: Column) -> Column:
     return c
 
 
-def _anchor(piece: Column) -> Column:
-    """(href, text) of one anchor, from the text behind its '<a '."""
-    tag = F.regexp_extract(piece, TAG_REST, 0)
+REST = 1 << 30  # more entries than any page has
+
+
+def _anchor(part: Column) -> Column:
+    """(href, text) of one anchor, from its tag and the text behind its '<a '."""
+    tag = part["tag"]
     body = F.get(
-        F.split(F.substr(piece, F.length(tag) + 2), r"(?i)</a\s*>", 2), F.lit(0)
+        F.split(F.substr(part["piece"], F.length(tag) + 2), r"(?i)</a\s*>", 2), F.lit(0)
     )
     href = F.when(
         tag.rlike(HREF), F.concat(*[F.regexp_extract(tag, HREF, i) for i in (1, 2, 3)])
@@ -46,10 +49,17 @@ def _anchor(piece: Column) -> Column:
 
 
 def anchors(html: Column) -> Column:
-    """All anchors with an address, in page order."""
+    """All anchors with an address, in page order.
+
+    Array functions do not share work between branches, so each step of an
+    anchor is bound by a transform of its own.
+    """
     pieces = F.split(F.regexp_replace(html, HIDDEN, ""), OPEN_ANCHOR, -1)
-    found = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _anchor)
-    return F.filter(found, lambda a: a["href"].isNotNull())
+    parts = F.transform(
+        F.slice(pieces, F.lit(2), F.lit(REST)),
+        lambda p: F.struct(p.alias("piece"), F.regexp_extract(p, TAG_REST, 0).alias("tag")),
+    )
+    return F.filter(F.transform(parts, _anchor), lambda a: a["href"].isNotNull())
 
 
 def page_links(pages: DataFrame, html: str, *keep: str) -> DataFrame:

@@ -23,9 +23,11 @@ def _written(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def _write_unless_empty(df: DataFrame, path: str) -> str | None:
-    if df.isEmpty():
+    """Parse once into a table, so that asking for emptiness parses nothing again."""
+    ready = materialise(df)
+    if ready.isEmpty():
         return None
-    list_csv.write_list_csv(df, path)
+    list_csv.write_list_csv(ready, path)
     return path
 
 
