@@ -25,6 +25,7 @@ def test_feed_is_one_stage_with_one_parse(spark, tmp_path):
     table = stored(spark, tmp_path, "xml string, other string")
     p = plan(feed.flatten_feed(parse_column(table, "xml", FEED_ENTITY, "entity")))
     assert p.count("from_xml(") == 1 and "Exchange" not in p
+    assert p.count("jan|feb") == 1  # birth dates are parsed once, for day and year
     assert "ReadSchema: struct<xml:string>" in p
 
 
