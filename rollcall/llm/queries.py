@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollcall.llm.checks import CHECKS  # noqa: F401
 from rollcall.llm import (
     decontaminate, language, licenses, quality, secret_scan, simhash, token_files, url_lists, warc, word_bpe,
 )
@@ -133,4 +134,3 @@ QUERIES = {f.__name__: f for f in (
     op1_quality, op2_licenses, op3_token_files, op4_simhash, op5_warc, op6_secrets, op7_decontamination, op8_url_filters,
     op9_word_bpe, op10_language,
 )}
-CHECKS: dict[str, str] = {}
