@@ -64,8 +64,12 @@ def script_of(letter: str) -> str | None:
 
 def letters_of(word: str) -> str:
     """The word's letters in lower case, other characters as single blanks, blanks around."""
-    kept = "".join(c if c.isalpha() else " " for c in word.lower())
-    return f" {' '.join(kept.split())} "
+    low = word.lower()
+    if low.isalpha():
+        return f" {low} "
+    if low[:-1].isalpha():
+        return f" {low[:-1]} "
+    return f" {' '.join(''.join(c if c.isalpha() else ' ' for c in low).split())} "
 
 
 def grams_of(letters: str) -> list[str]:
@@ -150,33 +154,47 @@ class Labeller:
         self.start()
 
     def start(self) -> None:
+        # Row 0 is for words without a letter.
         self.known: dict[str, int] = {}
-        self.scores = np.zeros((0, len(self.model.languages)), dtype=np.float32)
-        self.letters = np.zeros(0, dtype=np.int64)
-
-    def _word(self, word: str) -> tuple[np.ndarray, int]:
-        model, letters = self.model, letters_of(word)
-        n = len(letters) - letters.count(" ")
-        flat = np.zeros(len(model.languages), dtype=np.float32)
-        if not letters.strip():
-            return flat, 0
-        unseen = len(model.rows)
-        total = model.weights[[model.rows.get(g, unseen) for g in grams_of(letters)]].sum(0)
+        self.rows: dict[str, int] = {"  ": 0}
+        self.scores = np.zeros((1, len(self.model.languages)), dtype=np.float32)
+        self.letters = np.zeros(1, dtype=np.int64)
+
+    def _candidates(self, letters: str) -> np.ndarray | None:
+        """Languages that use the script of most letters."""
         scripts = Counter(s for s in map(script_of, letters) if s)
         main = min(scripts, key=lambda s: (-scripts[s], s)) if scripts else None
-        may = model.scripts.get(main)
-        if may is None or not may.any():
-            return flat, n
-        return np.where(may, np.maximum(total - total[may].max(), -CLIP), -FAR).astype(np.float32), n
+        return self.model.scripts.get(main)
+
+    def _score(self, words: list[str]) -> np.ndarray:
+        """A row for each word's letters: its trigrams' weights, narrowed to the candidates."""
+        rows, unseen = self.model.rows.get, len(self.model.rows)
+        flat = [rows(w[i : i + 3], unseen) for w in words for i in range(len(w) - 2)]
+        starts = np.cumsum([0, *[len(w) - 2 for w in words[:-1]]])
+        totals = np.add.reduceat(self.model.weights[flat], starts, axis=0)
+        latin = self.model.scripts.get("Latin")
+        may = np.zeros(totals.shape, dtype=bool)
+        for i, w in enumerate(words):
+            own = latin if max(w) < "\u02b0" else self._candidates(w)
+            if own is not None:
+                may[i] = own
+        best = np.where(may, totals, -np.inf).max(1, keepdims=True)
+        best[~np.isfinite(best)] = 0
+        scores = np.where(may, np.maximum(totals - best, -CLIP), -FAR)
+        scores[~may.any(1)] = 0
+        return scores.astype(np.float32)
 
     def learn(self, words: set[str]) -> None:
         if len(self.known) + len(words) > REMEMBERED:
             self.start()
-        if new := [w for w in words if w not in self.known]:
-            made = [self._word(w) for w in new]
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            self.scores = np.concatenate([self.scores, np.stack([m[0] for m in made])])
-            self.letters = np.concatenate([self.letters, [m[1] for m in made]])
+        if not (new := [w for w in words if w not in self.known]) or not self.model.languages:
+            return
+        letters = [letters_of(w) for w in new]
+        if unmet := list({x for x in letters if x not in self.rows}):
+            self.rows.update(zip(unmet, range(len(self.rows), len(self.rows) + len(unmet))))
+            self.scores = np.concatenate([self.scores, self._score(unmet)])
+            self.letters = np.concatenate([self.letters, [len(x) - x.count(" ") for x in unmet]])
+        self.known.update(zip(new, map(self.rows.__getitem__, letters)))
 
     def path(self, scores: np.ndarray) -> np.ndarray | int:
         """Language of each word, or one number if all have the same."""
@@ -203,9 +221,11 @@ class Labeller:
     def label(self, text: str | None, words: list[str]) -> tuple[str, float, list[tuple[str, int, int]]]:
         """Language, score, and spans (language, first word, end) of a text."""
         languages = self.model.languages
+        if not languages:
+            return UNKNOWN, 0.0, []
         at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
         letters = self.letters[at]
-        if not languages or not letters.any():
+        if not letters.any():
             return UNKNOWN, 0.0, []
         scores = self.scores[at]
         path = self.path(scores)
@@ -222,7 +242,7 @@ class Labeller:
         return languages[best], min(1.0, share * max(chance, 1.0 / len(languages))), spans
 
 
-def _labelled(texts: list, labeller: Labeller, slice_rows: int = 200):
+def _labelled(texts: list, labeller: Labeller, slice_rows: int = 1000):
     for at in range(0, len(texts), slice_rows):
         some = texts[at : at + slice_rows]
         words = [pieces_of(t or "") for t in some]
