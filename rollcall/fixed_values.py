@@ -29,7 +29,6 @@ LIST_TO_FEED_COLUMNS = {
 # Delta feed codes and labels.
 # ---------------------------------------------------------------------------
 
-FEED_NAMESPACE = "https://www.treasury.gov/ofac/DeltaFile/1.0"
 FEED_ACTION = "add"
 FEED_WATCHLIST = "OFAC - Specially Designated National List"
 

@@ -13,9 +13,9 @@ from rollcall import fixed_values as fv
 from rollcall.functions.text import contains_all, contains_any, not_empty, strip
 from rollcall.operators.rows import explode_once
 
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script>|\z)|<style\b.*?(?:</style>|\z)"
 OPEN_ANCHOR = r"(?i)<a\s"
-TAG_REST = r"""^(?:[^>"']|"[^"]*"|'[^']*')*"""
+TAG_REST = r"""^(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 HREF = r"""(?i)(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 

@@ -16,7 +16,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="rollcall-"))
         folder = context.getCheckpointDir()

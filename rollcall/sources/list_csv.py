@@ -18,7 +18,9 @@ CSV_WRITE = {"header": "true", "escape": '"', "encoding": "UTF-8", "emptyValue":
 
 ALL_COLUMNS = tuple(dict.fromkeys(fv.FEED_COLUMNS + fv.LIST_COLUMNS))
 SCAN_WIDTH = 32
-EXPORT_NAME = rf"((?:{fv.CLEANED_PREFIX}|{fv.REGULATION_PREFIX})[^/]*)"
+_PREFIX = f"(?:{fv.CLEANED_PREFIX}|{fv.REGULATION_PREFIX})"
+# The last part of a path that has the name of an export: a file, or a directory of parts.
+EXPORT_NAME = rf"(?:^|/)({_PREFIX}[^/]*)(?:/(?!{_PREFIX})[^/]*)?$"
 
 
 def scan_records(spark: SparkSession, paths, width: int) -> DataFrame:
@@ -104,7 +106,9 @@ def list_exports(spark: SparkSession, directory: str) -> list[str]:
     def held(glob: str) -> bool:
         try:
             spark.read.text(glob)
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return False
         return True
 

@@ -400,3 +400,12 @@ def test_resolve_like_urljoin(spark):
 def test_contracts():
     assert len(fv.FEED_COLUMNS) == 17 and len(fv.LIST_COLUMNS) == 13
     assert json.loads(json.dumps(fv.PROGRAMS))["91902"] == fv.PROGRAMS["91901"]
+
+
+def test_long_tags_and_unclosed_openers(spark):
+    """A tag of a megabyte, and a page of openers that nothing closes, in linear time."""
+    from rollcall.operators.links import anchors
+
+    rows = [("<a data-x=" + "y" * 1_000_000 + " href='long'>t</a>",), ("<a href=x>t</a>" + "<script" * 150_000,), ("<!--" * 250_000,)]
+    got = spark.createDataFrame(rows, "html string").select(anchors(F.col("html")).alias("a")).collect()
+    assert [[x.href for x in r.a] for r in got] == [["long"], ["x"], []]
