@@ -102,7 +102,9 @@ def sort_by_name(rows: DataFrame) -> DataFrame:
     return rows.orderBy(F.col("Name").asc_nulls_last())
 
 
-def consolidate(rows: DataFrame, normalised: bool = True, strict: bool = False) -> DataFrame:
+def consolidate(
+    rows: DataFrame, normalised: bool = True, strict: bool = False, per_file: DataFrame | None = None
+) -> DataFrame:
     """United rows to the final table.
 
     ``normalised`` is the batch job: labels per file, standard dates and
@@ -111,10 +113,12 @@ def consolidate(rows: DataFrame, normalised: bool = True, strict: bool = False)
 
     Who is kept depends on names and places alone, so labels and dates are
     worked out after the dedupe, for the rows that remain. The labels
-    themselves come from all rows, whose first ones may be dropped. The sort
+    themselves come from all rows, whose first ones may be dropped; a caller who
+    has worked out :func:`file_labels` passes them as ``per_file``. The sort
     runs ahead of normalising, as it evaluates its input twice, once to sample.
     """
     kept = keep_first(rows)
     if not normalised:
         return kept
-    return normalise(sort_by_name(with_labels(kept, file_labels(rows))), strict)
+    labelled = with_labels(kept, file_labels(rows) if per_file is None else per_file)
+    return normalise(sort_by_name(labelled), strict)

@@ -70,27 +70,44 @@ def encode_directory(spark: SparkSession, source: str, out_dir: str) -> tuple[Da
 def land_answers(
     spark: SparkSession, replies: DataFrame, answer: str, source: str, out_dir: str, stamp: str
 ) -> DataFrame:
-    """Keep the cleaned answer texts, and return their rows as tagged list rows.
+    """Save the cleaned answers as list exports, and return their rows as tagged list rows.
 
     ``replies`` has one answer text per document, ``source`` names the document.
+    Each document becomes the export ``sanctions_from_<stem>_<stamp>.csv`` in
+    ``out_dir``, a partition of a table of texts, which a consolidation of that
+    directory finds. Landing the same document again under the same stamp
+    replaces its export and leaves all others as they are.
     """
     name = F.regexp_replace(F.col(source), r"\.[^.]*\z", "")
-    named = replies.withColumn(
-        "src_file", F.concat(F.lit(fv.REGULATION_PREFIX), name, F.lit(f"_{stamp}.csv"))
-    ).withColumn("csv_text", answers.strip_fences(F.col(answer)))
-    named.select("src_file", "csv_text").write.parquet(f"{out_dir}/answers")
-    saved = spark.read.parquet(f"{out_dir}/answers")
+    named = replies.select(
+        F.concat(F.lit(fv.REGULATION_PREFIX), name, F.lit(f"_{stamp}.csv")).alias("src_file"),
+        answers.strip_fences(F.col(answer)).alias("csv_text"),
+    )
+    saved = materialise(named)
+    saved.filter("csv_text IS NOT NULL").write.partitionBy("src_file").option(
+        "partitionOverwriteMode", "dynamic"
+    ).mode("overwrite").text(out_dir)
     rows = answers.answer_rows(saved, "csv_text", "src_file", "src_file")
     return consolidate.tag_source(rows.drop("Source_File"), 1, F.col("src_file"), "row_pos")
 
 
 @dataclass
 class Consolidation:
-    """What a consolidation leaves behind."""
+    """What a consolidation leaves behind.
+
+    ``shares`` has the distributions of the result. The other figures are over
+    all rows read, duplicates included: ``converted_dates``, and the most
+    frequent list labels before and after these are made standard.
+    ``rejects`` names the records that were set aside, and their files.
+    """
 
     table: DataFrame
     summary: DataFrame
     converted_dates: DataFrame
+    shares: DataFrame
+    labels_before: DataFrame
+    labels_after: DataFrame
+    rejects: DataFrame
 
 
 def consolidate_directory(
@@ -100,18 +117,29 @@ def consolidate_directory(
     exports = list_csv.list_exports(spark, source)
     if not exports:
         raise FileNotFoundError(f"no list exports in {source}")
-    rows = materialise(list_csv.read_list_csv(spark, exports))
-    final = consolidate.consolidate(rows, strict=strict)
-    list_csv.write_list_csv(
-        final.drop(*consolidate.ORDER), f"{out_dir}/consolidated"
-    )
-    shown = [c for c in final.columns if c not in consolidate.ORDER]
-    table = _written(spark, f"{out_dir}/consolidated", strings(shown))
-    reports.summary_record(rows, table).write.option("header", "true").csv(f"{out_dir}/summary")
+    found, bad = list_csv.read_exports(spark, exports)
+    rows = materialise(found)
+    bad.write.options(**list_csv.CSV_WRITE).csv(f"{out_dir}/rejects")
+    per_file = materialise(consolidate.file_labels(rows))
+    final = consolidate.consolidate(rows, strict=strict, per_file=per_file).drop(*consolidate.ORDER)
+    list_csv.write_list_csv(final, f"{out_dir}/consolidated")
+    table = _written(spark, f"{out_dir}/consolidated", strings(final.columns))
+    kept = materialise(table)
+    reports.summary_record(rows, kept).write.option("header", "true").csv(f"{out_dir}/summary")
     summary = spark.read.schema("metric string, item string, n long").option(
         "header", "true"
     ).csv(f"{out_dir}/summary")
-    return Consolidation(table, summary, consolidate.converted_dates(table))
+    labelled = consolidate.with_labels(rows, per_file)
+    standard = consolidate.normalise(labelled, strict)
+    return Consolidation(
+        table=table,
+        summary=summary,
+        converted_dates=consolidate.converted_dates(standard),
+        shares=reports.distribution(kept, "Type", "Watchlist"),
+        labels_before=reports.top_values(labelled, "Watchlist"),
+        labels_after=reports.top_values(standard, "Watchlist"),
+        rejects=_written(spark, f"{out_dir}/rejects", list_csv.REJECTS),
+    )
 
 
 def consolidate_sources(

@@ -1,14 +1,13 @@
 """List exports as CSV: one scan for files whose columns differ."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall import fixed_values as fv
-from rollcall.functions.csvtext import fields_at, places_of, present
+from rollcall.functions.csvtext import csv_fields, fields_at, places_of, present
 from rollcall.operators.consolidate import ROW_POS, SRC_FILE, SRC_RANK
 from rollcall.operators.small_tables import join_known, materialise
-from rollcall.schemas import strings
 
 CSV_READ = {
     "header": "false", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8",
@@ -17,87 +16,92 @@ CSV_READ = {
 CSV_WRITE = {"header": "true", "escape": '"', "encoding": "UTF-8", "emptyValue": "", "nullValue": ""}
 
 ALL_COLUMNS = tuple(dict.fromkeys(fv.FEED_COLUMNS + fv.LIST_COLUMNS))
-SCAN_WIDTH = 32
+MAX_COLUMNS = 1_000_000
+REJECTS = "src_file string, part string, record_no long, n_fields int, n_header int, record string"
 _PREFIX = f"(?:{fv.CLEANED_PREFIX}|{fv.REGULATION_PREFIX})"
-# The last part of a path that has the name of an export: a file, or a directory of parts.
-EXPORT_NAME = rf"(?:^|/)({_PREFIX}[^/]*)(?:/(?!{_PREFIX})[^/]*)?$"
+# The last part of a path that has the name of an export: a file, or a directory of parts,
+# which may be the partition of a written table.
+EXPORT_NAME = rf"(?:^|/)(?:{SRC_FILE}=)?({_PREFIX}[^/]*)(?:/(?!{_PREFIX})[^/]*)?$"
 
 
-def scan_records(spark: SparkSession, paths, width: int) -> DataFrame:
+def _decoded(text: Column) -> Column:
+    """A path part without its percent signs; as it is where these are no code."""
+    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+
+
+def export_name(path: Column) -> Column:
+    """The export a file belongs to; partition values are encoded once more than paths."""
+    name = _decoded(F.regexp_extract(path, EXPORT_NAME, 1))
+    return F.when(path.rlike(rf"/{SRC_FILE}={_PREFIX}"), _decoded(name)).otherwise(name)
+
+
+def scan_records(spark: SparkSession, paths) -> DataFrame:
     """Every record of every file as an array of texts, with its place.
 
     Headers are records like any other here, so files of all shapes share one
-    scan and no schema is inferred. ``src_file`` is the export a record belongs
-    to: a CSV file, or a directory of parts that Spark wrote under that name.
-    Only the first ``width`` fields of a record are read.
+    scan and no schema is inferred. With a schema of one column, Spark keeps
+    every wider record as its text, whose fields are then told apart without a
+    bound on their number. ``row`` grows along a file and means nothing beyond
+    one run of the scan, so the result is to be written before it is compared.
     """
-    names = [f"c{i}" for i in range(width)]
-    raw = spark.read.schema(strings(names)).options(**CSV_READ).csv(paths)
+    options = {**CSV_READ, "maxColumns": MAX_COLUMNS, "columnNameOfCorruptRecord": "record"}
+    raw = spark.read.schema("only string, record string").options(**options).csv(paths)
+    text = F.regexp_replace("record", r"^[\r\n]+|[\r\n]+\z", "")
     part = F.col("_metadata.file_path")
-    place = F.struct(
-        part.alias("part"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    fields = F.array(*names)
-    filled = F.filter(
-        F.transform(fields, lambda v, i: F.when(v.isNotNull(), i + 1)), lambda i: i.isNotNull()
-    )
     return raw.select(
-        F.regexp_extract(part, EXPORT_NAME, 1).alias(SRC_FILE),
+        export_name(part).alias(SRC_FILE),
         part.alias("part"),
-        place.alias(ROW_POS),
-        F.coalesce(F.try_element_at(filled, F.lit(-1)), F.lit(0)).alias("width"),
-        fields.alias("fields"),
-    ).withColumn("fields", F.slice("fields", F.lit(1), F.greatest("width", F.lit(1))))
-
-
-def part_facts(records: DataFrame) -> DataFrame:
-    """Per physical file its header and whether a record is wider than it."""
-    header = F.transform(F.col("header"), lambda h: F.replace(h, F.lit("\ufeff"), F.lit("")))
-    return records.groupBy(SRC_FILE, "part").agg(
-        F.min(ROW_POS).alias("head_pos"),
-        F.min_by("fields", ROW_POS).alias("header"),
-        F.max("width").alias("widest"),
-    ).select(
-        SRC_FILE, "part", "head_pos", "widest", header.alias("header"),
-        (F.col("widest") <= F.size("header")).alias("readable"),
+        F.monotonically_increasing_id().alias("row"),
+        F.when(F.col("record").isNull(), F.array(F.coalesce("only", F.lit(""))))
+        .otherwise(csv_fields(text)).alias("fields"),
     )
 
 
-def scan_exports(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
-    """(records, part facts), read wide enough for the widest record there is."""
-    width = SCAN_WIDTH
-    while True:
-        records = scan_records(spark, paths, width)
-        facts = materialise(part_facts(records))
-        if facts.filter(F.col("widest") >= width).isEmpty():
-            return records, facts
-        width *= 8
+def headers(records: DataFrame) -> DataFrame:
+    """``part``, ``head_row`` and ``header`` of every file in a written table of records.
 
+    The first row is found among numbers alone; its fields are picked by a filter.
+    """
+    first = materialise(records.groupBy("part").agg(F.min("row").alias("head_row")))
+    heads = join_known(records, first, "part", "row").filter("row = head_row")
+    header = F.transform(F.col("fields"), lambda h: F.replace(h, F.lit("\ufeff"), F.lit("")))
+    return materialise(heads.select("part", "head_row", header.alias("header")))
 
-def read_list_csv(spark: SparkSession, paths, columns=ALL_COLUMNS) -> DataFrame:
-    """Rows of all readable files under ``columns``, matched by header name.
 
-    Files with nothing but a header add no rows. A file with a record wider
-    than its header is left out whole; :func:`unreadable_files` names it.
+def read_exports(spark: SparkSession, paths, columns=ALL_COLUMNS) -> tuple[DataFrame, DataFrame]:
+    """(rows under ``columns``, matched by header name; rejected records).
+
+    Files with nothing but a header add no rows. A record with more fields than
+    its file's header is set aside, with its file and its number in it (the
+    header is 0), and the file's other records are kept. Fields missing at the
+    end of a record are null.
+
+    The records are written once, and headers, rows and rejects are all read
+    from that table, so that nothing depends on how a scan deals out files.
     """
-    records, facts = scan_exports(spark, paths)
-    known = facts.select(
-        "part", "head_pos", "readable", places_of(F.col("header"), columns).alias("places")
+    records = materialise(scan_records(spark, paths))
+    known = headers(records).select(
+        "part", "head_row", F.size("header").alias("n_header"),
+        places_of(F.col("header"), columns).alias("places"),
     )
-    rows = join_known(records, known, "part", ROW_POS)
-    data = rows.filter("readable").filter(F.col(ROW_POS) != F.col("head_pos")).withColumn(
-        "fields", present(F.col("fields"))
-    )
-    named = fields_at("fields", "places", columns)
+    body = join_known(records, known, "part", "row").filter("row > head_row")
+    wide = F.size("fields") > F.col("n_header")
     family = F.when(F.col(SRC_FILE).startswith(fv.CLEANED_PREFIX), 0).otherwise(1)
-    return data.select(*named, family.alias(SRC_RANK), SRC_FILE, ROW_POS)
+    rows = body.filter(~wide).withColumn("fields", present(F.col("fields"))).select(
+        *fields_at("fields", "places", columns), family.alias(SRC_RANK), SRC_FILE,
+        F.struct("part", "row").alias(ROW_POS),
+    )
+    rejects = body.filter(wide).select(
+        SRC_FILE, "part", (F.col("row") - F.col("head_row")).alias("record_no"),
+        F.size("fields").alias("n_fields"), "n_header",
+        F.to_json("fields").alias("record"),
+    )
+    return rows, rejects
 
 
-def unreadable_files(spark: SparkSession, paths) -> DataFrame:
-    _, facts = scan_exports(spark, paths)
-    return facts.filter(~F.col("readable")).select(SRC_FILE)
+def read_list_csv(spark: SparkSession, paths, columns=ALL_COLUMNS) -> DataFrame:
+    """The rows of :func:`read_exports`."""
+    return read_exports(spark, paths, columns)[0]
 
 
 def list_exports(spark: SparkSession, directory: str) -> list[str]:
@@ -112,7 +116,8 @@ def list_exports(spark: SparkSession, directory: str) -> list[str]:
             return False
         return True
 
-    globs = [f"{directory}/{p}*.csv" for p in (fv.CLEANED_PREFIX, fv.REGULATION_PREFIX)]
+    names = (fv.CLEANED_PREFIX, fv.REGULATION_PREFIX, f"{SRC_FILE}={fv.REGULATION_PREFIX}")
+    globs = [f"{directory}/{name}*.csv" for name in names]
     return [g for g in globs if held(g)]
 
 

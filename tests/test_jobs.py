@@ -162,13 +162,54 @@ def test_csv_scan(spark, tmp_path):
         ("sanctions_from_202501578_t.csv", "a", "Entity", None, None, 1),
         ("sanctions_from_202501578_t.csv", None, "Vessel", None, None, 1),
     ]))
-    assert [r[0] for r in list_csv.unreadable_files(spark, paths).collect()] == ["sanctions_from_2_t.csv"]
+    bad = list_csv.read_exports(spark, paths)[1].collect()
+    assert [(r["src_file"], r["record_no"], r["n_fields"], r["n_header"], r["record"]) for r in bad] == [
+        ("sanctions_from_2_t.csv", 1, 3, 2, '["wide","Entity","too many"]')
+    ]
+
+
+def names_read(spark, folder):
+    rows, bad = list_csv.read_exports(spark, list_csv.list_exports(spark, str(folder)), ("Name", "Type"))
+    return sorted((r["src_file"], r["Name"]) for r in rows.collect()), bad
+
+
+def test_a_bad_record_leaves_the_others(spark, tmp_path):
+    put(tmp_path, "sanctions_cleaned_a.csv", 'Name,Type\nx,1\n"p\nq",Entity,,\n\n\ny\nz,2\n')
+    rows, bad = names_read(spark, tmp_path)
+    assert rows == [("sanctions_cleaned_a.csv", n) for n in "xyz"]
+    assert [(r["record_no"], r["n_fields"], r["record"]) for r in bad.collect()] == [
+        (2, 4, '["p\\nq","Entity","",""]')
+    ]
+
+
+def test_repacked_files_keep_headers_out(spark, tmp_path):
+    """A scan that deals out files otherwise by the time it runs reads the same rows."""
+    for i in range(7):
+        put(tmp_path, f"sanctions_cleaned_{i}.csv", "Name,Type\n" + "".join(f"n{i}{j},t\n" for j in range(3)))
+    want = [(f"sanctions_cleaned_{i}.csv", f"n{i}{j}") for i in range(7) for j in range(3)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "60")
+    try:
+        rows, _ = list_csv.read_exports(spark, list_csv.list_exports(spark, str(tmp_path)), ("Name",))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
+        assert sorted((r["src_file"], r["Name"]) for r in rows.collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_export_names_come_from_their_own_path_part(spark, tmp_path):
+    folder = tmp_path / "sanctions_from_eu" / "in"
+    folder.mkdir(parents=True)
+    for name in ("sanctions_cleaned_a b%.csv", "sanctions_from_1+2_t.csv"):
+        put(folder, name, "Name\nx\n")
+    assert names_read(spark, folder)[0] == [
+        ("sanctions_cleaned_a b%.csv", "x"), ("sanctions_from_1+2_t.csv", "x")
+    ]
 
 
 def test_wide_exports(spark, tmp_path):
-    """Columns far beyond the first scan's width are still found by name."""
-    names = [f"x{i}" for i in range(300)] + ["Name"]
-    put(tmp_path, "sanctions_cleaned_w.csv", ",".join(names) + "\n" + "," * 300 + "far\n")
+    """Columns far beyond a parser's usual width are still found by name."""
+    names = [f"x{i}" for i in range(30_000)] + ["Name"]
+    put(tmp_path, "sanctions_cleaned_w.csv", ",".join(names) + "\n" + "," * 30_000 + "far\n")
     put(tmp_path, "sanctions_cleaned_n.csv", "Name\nnear\n")
     rows = list_csv.read_list_csv(spark, list_csv.list_exports(spark, str(tmp_path)), ("Name",))
     assert sorted(r["Name"] for r in rows.collect()) == ["far", "near"]
@@ -189,6 +230,39 @@ def test_consolidate_directory(spark, tmp_path):
     assert summary[("processing_breakdown", "other_records")] == 2
     assert summary[("watchlist_distribution", "OFAC")] == 2
     assert done.converted_dates.first()[0] == 1
+    assert [(r["src_file"], r["part"].endswith("/sanctions_from_2_t.csv"), r["record_no"]) for r in done.rejects.collect()] == [
+        ("sanctions_from_2_t.csv", True, 1)
+    ]
+    assert {(r["column"], r["value"], r["pct"]) for r in done.shares.collect()} >= {("Watchlist", "OFAC", 50.0)}
+    before, after = (
+        {r["value"]: r["n"] for r in df.collect()} for df in (done.labels_before, done.labels_after)
+    )
+    assert before == after == {"OFAC": 2, "UN": 2, "2025/1578": 3}
+
+
+def test_converted_dates_are_counted_before_the_dedupe(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    put(tmp_path / "in", "sanctions_cleaned_a.csv", "Name,DOB_DJ\na,12/10/1958\na,13/10/1958\nb,\n")
+    done = jobs.consolidate_directory(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert done.table.count() == 2 and done.converted_dates.first()[0] == 2
+
+
+def test_answers_reach_the_consolidation_of_their_folder(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    put_in = spark.createDataFrame([("x", "OFAC l")], "Name string, Watchlist string")
+    list_csv.write_list_csv(put_in, f"{folder}/sanctions_cleaned_d.csv")
+    replies = spark.createDataFrame(
+        [("```csv\nName,Type\nb,Entity\n\"c, d\",None\n```", "202501578.pdf"), ("Name\nold\n", "a b.pdf"), (None, "n.pdf")],
+        "answer string, doc string",
+    )
+    for some in (replies, replies.filter("doc = 'a b.pdf'").withColumn("answer", F.lit("Name\nnew\n"))):
+        jobs.land_answers(spark, some, "answer", "doc", folder, "t")
+    assert names_read(spark, folder)[0] == [
+        ("sanctions_cleaned_d.csv", "x"), ("sanctions_from_202501578_t.csv", "b"),
+        ("sanctions_from_202501578_t.csv", "c, d"), ("sanctions_from_a b_t.csv", "new"),
+    ]
+    done = jobs.consolidate_directory(spark, folder, str(tmp_path / "out"))
+    assert {(r["Name"], r["Watchlist"]) for r in done.table.collect()} >= {("x", "OFAC"), ("b", "2025/1578")}
 
 
 def test_exports_written_by_spark_are_one_file_each(spark, tmp_path):
