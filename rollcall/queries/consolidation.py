@@ -1,5 +1,7 @@
 """Normalising and consolidating: q25 - q33."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from rollcall.functions import dates, labels
@@ -7,9 +9,11 @@ from rollcall.functions.csvtext import csv_fields, csv_records, fields_at, place
 from rollcall.operators import consolidate as op
 from rollcall.operators import reports
 from rollcall.operators.rows import explode_once
+from rollcall.operators.small_tables import shared_folder
 from rollcall.queries.tables import (
-    CUSTOMERS_SQL, ORDERS_SQL, SUPPLIERS_SQL, customers, orders, suppliers, wide_table,
+    CUSTOMERS_SQL, ORDERS_SQL, SUPPLIERS_SQL, customers, orders, suppliers, table, wide_table,
 )
+from rollcall.sources import list_csv
 
 # -- dates and labels -------------------------------------------------------
 
@@ -99,6 +103,30 @@ def q27_csv_union_scan(spark, sf_dir):
     )
 
 
+# Exports of parts, whose columns differ in number, order and name.
+PART_EXPORTS = {
+    "sanctions_cleaned_promo.csv": ("p_type = 'PROMO'", "p_partkey AS key",
+        """p_name || ', "' || p_brand || '",\n' || p_size AS Name""", "'a, b' AS Watchlist"),
+    "sanctions_cleaned_large.csv": ("p_type = 'LARGE'", "'Entity' AS Type", "p_size AS Extra",
+        "CASE WHEN p_size < 15 THEN 'NaN' WHEN p_size < 30 THEN '' ELSE '1958' END AS DOB_DJ",
+        "p_brand AS Name", "p_partkey AS key"),
+    "sanctions_from_2025_t.csv": ("p_type NOT IN ('PROMO', 'LARGE')", "CASE WHEN p_size > 9 THEN p_name END AS Name",
+        "p_partkey AS key"),
+    "sanctions_from_none_t.csv": ("p_size < 0", "p_name AS Name"),
+}
+
+
+def q27b_csv_files(spark, sf_dir):
+    """CSV files of differing columns, written and then read by one scan."""
+    folder = f"{shared_folder(spark)}/rollcall/{uuid.uuid4().hex}"
+    part = table(spark, sf_dir, "part")
+    for name, (chosen, *columns) in PART_EXPORTS.items():
+        list_csv.write_list_csv(part.filter(chosen).selectExpr(*columns), f"{folder}/{name}")
+    names = ("key", "Name", "Type", "DOB_DJ", "Watchlist")
+    rows = list_csv.read_list_csv(spark, list_csv.list_exports(spark, folder), names)
+    return rows.withColumn("key", F.col("key").cast("long")).select(*names, "src_rank", "src_file")
+
+
 FILE_COLUMNS = (
     "doc_id AS row_pos",
     """CASE WHEN length(source) = 4 THEN 'sanctions_cleaned_' || source || '.csv'
@@ -202,6 +230,7 @@ QUERIES = {
     "q25_date_standardise": q25_date_standardise,
     "q26_date_converted_count": q26_date_converted_count,
     "q27_csv_union_scan": q27_csv_union_scan,
+    "q27b_csv_files": q27b_csv_files,
     "q28_file_label": q28_file_label,
     "q28b_recognise_files": q28b_recognise_files,
     "q29_regulation_number": q29_regulation_number,
@@ -333,6 +362,15 @@ CHECKS = {
       UNION ALL SELECT p_partkey, 1, NULL, NULL, NULL, NULL FROM f
       UNION ALL SELECT p_partkey, 2, 'N/A ', 'none', NULL, NULL FROM f
     """,
+    "q27b_csv_files": """
+      SELECT p_partkey AS key, p_name || ', "' || p_brand || '",' || chr(10) || p_size AS "Name",
+        CAST(NULL AS VARCHAR) AS "Type", CAST(NULL AS VARCHAR) AS "DOB_DJ", 'a, b' AS "Watchlist",
+        0 AS src_rank, 'sanctions_cleaned_promo.csv' AS src_file FROM part WHERE p_type = 'PROMO'
+      UNION ALL SELECT p_partkey, p_brand, 'Entity', CASE WHEN p_size >= 30 THEN '1958' END, NULL,
+        0, 'sanctions_cleaned_large.csv' FROM part WHERE p_type = 'LARGE'
+      UNION ALL SELECT p_partkey, CASE WHEN p_size > 9 THEN p_name END, NULL, NULL, NULL,
+        1, 'sanctions_from_2025_t.csv' FROM part WHERE p_type NOT IN ('PROMO', 'LARGE')
+    """,
     "q28_file_label": f"""
       SELECT row_pos, src_file, {_LABEL_OF_FILE} AS "Watchlist" FROM ({_FILES})
     """,
