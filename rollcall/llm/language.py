@@ -97,6 +97,25 @@ class Model:
         return self.languages, self.rows, self.weights, self.scripts
 
 
+def _grams(words: dict[str, Counter]) -> Counter:
+    """Trigrams and letters of each script per language, from counts of distinct words."""
+    grams: Counter = Counter()
+    for lang, counts in words.items():
+        folded: Counter = Counter()
+        for word, n in counts.items():
+            folded[letters_of(word)] += n
+        del folded["  "]  # words without a letter
+        for letters, n in folded.items():
+            for gram in grams_of(letters):
+                grams[lang, gram] += n
+            if max(letters) < "\u02b0":
+                grams[lang, "script Latin"] += n * (len(letters) - letters.count(" "))
+            else:
+                for script in filter(None, map(script_of, letters)):
+                    grams[lang, "script " + script] += n
+    return grams
+
+
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, top: int = TOP) -> Model:
     """Learn from rows with a text and a language."""
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
@@ -108,17 +127,14 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
     chosen = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000)
 
     def count(batches):
-        grams: Counter = Counter()
+        words: dict[str, Counter] = {}
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for word in pieces_of(text):
-                    letters = letters_of(word)
-                    grams.update((lang, g) for g in grams_of(letters))
-                    grams.update((lang, "script " + s) for s in map(script_of, letters) if s)
-                if len(grams) > 500_000:
-                    yield made(grams)
-                    grams.clear()
-        yield made(grams)
+                words.setdefault(lang, Counter()).update(pieces_of(text))
+                if sum(map(len, words.values())) > REMEMBERED:
+                    yield made(_grams(words))
+                    words.clear()
+        yield made(_grams(words))
 
     def made(grams):
         return pa.record_batch(
