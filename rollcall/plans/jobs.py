@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall import fixed_values as fv
+from rollcall.functions.dates import generation_date
 from rollcall.operators import answers, consolidate, documents, feed, full_list, reports
-from rollcall.operators.small_tables import materialise
+from rollcall.operators.small_tables import BROADCAST_BYTES, fits_broadcast, materialise
 from rollcall.schemas import FEED_CONTRACT, LIST_CONTRACT, strings
 from rollcall.sources import documents as document_files
 from rollcall.sources import list_csv, xml
@@ -41,10 +42,21 @@ def land_feed(spark: SparkSession, source, out_dir: str, day: str, **how) -> Dat
 def recent_list(
     spark: SparkSession, source, today: Column, **how
 ) -> tuple[DataFrame, DataFrame]:
-    """(individuals, entities) listed on the list's generation day or just before."""
-    gen_date = xml.read_generation_date(spark, source, today).scalar()
-    people = full_list.recent_only(xml.read_list_individuals(spark, source, **how), gen_date)
-    groups = full_list.recent_only(xml.read_list_entities(spark, source, **how), gen_date)
+    """(individuals, entities) listed on their list's generation day or just before.
+
+    Every file is held against its own date, and against ``today`` if it has none.
+    """
+    stamps = materialise(xml.read_generation_stamps(spark, source))
+    # A row per file; beyond the checked size the join shuffles.
+    known = F.broadcast(stamps) if fits_broadcast(stamps, BROADCAST_BYTES) else stamps
+
+    def recent(records: DataFrame) -> DataFrame:
+        dated = records.join(known, xml.LIST_FILE, "left")
+        day = generation_date(F.col("stamp"), today)
+        return full_list.recent_only(dated, day).drop(xml.LIST_FILE, "stamp")
+
+    people = recent(xml.read_list_individuals(spark, source, with_file=True, **how))
+    groups = recent(xml.read_list_entities(spark, source, with_file=True, **how))
     return full_list.flatten_individuals(people), full_list.flatten_entities(groups)
 
 

@@ -3,7 +3,6 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.functions.dates import generation_date
 from rollcall.schemas import (
     CORRUPT_COLUMN, FEED_ENTITY, LIST_ENTITY, LIST_INDIVIDUAL, XML_OPTIONS,
 )
@@ -28,34 +27,57 @@ def parse_column(df: DataFrame, xml: str, schema: str, row_tag: str, *keep: str)
     return df.select(*keep, F.inline(F.array(record)))
 
 
+LIST_FILE = "list_file"
+
+
 def _read(spark: SparkSession, path, schema: str, row_tag: str) -> DataFrame:
-    return spark.read.schema(schema).options(**_options(row_tag, schema)).xml(path)
+    records = spark.read.schema(schema).options(**_options(row_tag, schema)).xml(path)
+    return records.select("*", F.col("_metadata.file_path").alias(LIST_FILE))
+
+
+def _hides(text: Column, opener: str, closer: str, tag: str) -> Column:
+    """Whether a comment or CDATA section holds the tag, or is cut off by the end of the text."""
+    inside = F.transform(F.split(text, opener), lambda p: F.substring_index(p, closer, 1))
+    open_ended = ~F.element_at(F.split(text, opener), -1).contains(closer)
+    sections = F.slice(inside, F.lit(2), F.size(inside))
+    return (F.size(inside) > 1) & (open_ended | F.exists(sections, lambda p: p.rlike(rf"<{tag}\b")))
 
 
 def _read_split(spark: SparkSession, path, schema: str, row_tag: str) -> DataFrame:
     """The same records from files too large for one task.
 
     The XML source reads a file in one task. The text source splits files, and
-    with the closing tag as its line end every piece holds one record at most.
-    Self-closing records are skipped: they hold nothing to extract. The tag
-    must not be prefixed, and must not occur inside comments or CDATA.
+    with the closing tag as its line end a piece holds self-closed records, and
+    then one other record at most. Prefixed tags, closing tags with blanks, and
+    tags inside comments or CDATA cannot be told apart this way: they fail the read.
     """
     close = f"</{row_tag}>"
-    pieces = spark.read.option("lineSep", close).text(path)
-    start = F.regexp_extract("value", rf"(?s)^.*(<{row_tag}[\s>].*)$", 1)
-    records = pieces.select(F.concat(start, F.lit(close)).alias("record")).filter(
-        F.length("record") > len(close)
+    value = F.col("value")
+    odd = value.rlike(rf"</(?:[\w.-]+:{row_tag}\s*|{row_tag}\s+)>") | value.rlike(rf"<[\w.-]+:{row_tag}[\s/>]")
+    odd = odd | _hides(value, "<!--", "-->", row_tag) | _hides(value, r"<!\[CDATA\[", "]]>", row_tag)
+    message = f"tags of {row_tag} that a splitting read cannot follow: read with splittable=False"
+    pieces = spark.read.option("lineSep", close).text(path).select(
+        F.when(odd, F.raise_error(F.lit(message)).cast("string")).otherwise(value).alias("value"),
+        F.col("_metadata.file_path").alias(LIST_FILE),
     )
-    return parse_column(records, "record", schema, row_tag)
+    start = rf"(?s)^(.*)(<{row_tag}(?:\s(?:[^>]*[^/>])?)?>.*)$"
+    last = F.regexp_extract("value", start, 2)
+    head = F.when(last == "", value).otherwise(F.regexp_extract("value", start, 1))
+    closed = F.regexp_extract_all(head, F.lit(rf"<{row_tag}(?:\s[^>]*)?/>"), F.lit(0))
+    whole = F.when(last == "", closed).otherwise(F.array_append(closed, F.concat(last, F.lit(close))))
+    records = pieces.select(F.explode(whole).alias("record"), LIST_FILE)
+    return parse_column(records, "record", schema, row_tag, LIST_FILE)
 
 
 def read_records(
     spark: SparkSession, path, schema: str, row_tag: str,
-    splittable: bool = False, quarantine: bool = False,
+    splittable: bool = False, quarantine: bool = False, with_file: bool = False,
 ) -> DataFrame:
+    """Records by row tag; ``with_file`` adds the path each was read from as ``list_file``."""
     schema = with_corrupt(schema) if quarantine else schema
     reader = _read_split if splittable else _read
-    return reader(spark, path, schema, row_tag)
+    records = reader(spark, path, schema, row_tag)
+    return records if with_file else records.drop(LIST_FILE)
 
 
 def read_feed(spark: SparkSession, path, **how) -> DataFrame:
@@ -70,28 +92,27 @@ def read_list_entities(spark: SparkSession, path, **how) -> DataFrame:
     return read_records(spark, path, LIST_ENTITY, "ENTITY", **how)
 
 
-def read_generation_date(
-    spark: SparkSession, path, fallback: Column, root_tag: str = "CONSOLIDATED_LIST"
-) -> DataFrame:
-    """One row, ``gen_date``: the newest stamp on a root element.
+def read_generation_stamps(spark: SparkSession, path) -> DataFrame:
+    """``list_file``, ``stamp``: the first ``dateGenerated`` of every file that has one.
 
-    Only opening root tags are looked at, so the scan is a text scan with a
-    substring test, not an XML parse of the whole list in one record.
+    Lists carry it on their root element, whatever its name. Only opening tags with
+    the attribute are looked at, so the scan is a text scan with a substring test, not
+    an XML parse of a whole list in one record.
     """
-    attribute = F.regexp_extract("value", r"\bdateGenerated\s*=\s*[\"']([^\"']*)", 1)
-    stamps = (
-        spark.read.option("lineSep", ">").text(path)
-        .filter(F.col("value").contains(f"<{root_tag}"))
-        .select(F.nullif(attribute, F.lit("")).alias("stamp"))
-    )
-    return stamps.agg(F.max("stamp").alias("stamp")).select(
-        generation_date(F.col("stamp"), fallback).alias("gen_date")
+    attribute = r"(?s)<[^\s<>!?/][^<]*\sdateGenerated\s*=\s*[\"']([^\"']*)"
+    tags = spark.read.option("lineSep", ">").text(path).filter(
+        F.col("value").contains("dateGenerated") & ~F.col("value").contains("<!--")
+    ).select(
+        F.col("_metadata.file_path").alias(LIST_FILE),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        F.nullif(F.regexp_extract("value", attribute, 1), F.lit("")).alias("stamp"),
     )
+    first = F.min_by("stamp", F.struct("block", "at"))
+    return tags.filter("stamp IS NOT NULL").groupBy(LIST_FILE).agg(first.alias("stamp"))
 
 
 def split_corrupt(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good records, texts of the records that failed to parse)."""
     bad = F.col(CORRUPT_COLUMN).isNotNull()
     return records.filter(~bad).drop(CORRUPT_COLUMN), records.filter(bad).select(CORRUPT_COLUMN)
-
-

@@ -124,10 +124,41 @@ def test_full_list_file(spark, tmp_path, splittable):
     assert [r["Aliases"] for r in groups.collect()] == ["N (Good); M"]
 
 
-def test_generation_date_falls_back(spark, tmp_path):
-    path = put(tmp_path, "list.xml", "<CONSOLIDATED_LIST><INDIVIDUALS/></CONSOLIDATED_LIST>")
-    day = xml.read_generation_date(spark, path, F.lit("2024-01-02").cast("date")).first()[0]
-    assert str(day) == "2024-01-02"
+def dated_list(root, name, listed, day=None):
+    stamp = f" dateGenerated='{day}T10:00:00Z'" if day else ""
+    person = f"<INDIVIDUAL><FIRST_NAME>{name}</FIRST_NAME><LISTED_ON>{listed}</LISTED_ON></INDIVIDUAL>"
+    return f"<?xml version='1.0'?><!-- dateGenerated='1999-01-01' --><{root}{stamp}><INDIVIDUALS>{person}</INDIVIDUALS></{root}>"
+
+
+@pytest.mark.parametrize("splittable", [False, True])
+def test_generation_date_of_each_file(spark, tmp_path, splittable):
+    put(tmp_path, "a.xml", dated_list("LIST", "old", "2020-05-05", "2020-05-06"))
+    put(tmp_path, "b.xml", dated_list("CONSOLIDATED_LIST", "new", "2025-07-30", "2025-07-30"))
+    put(tmp_path, "c.xml", dated_list("LIST", "undated", "2024-01-02"))
+    put(tmp_path, "d.xml", dated_list("LIST", "past", "2024-01-02", "2025-07-30"))
+    today = F.lit("2024-01-02").cast("date")
+    people, groups = jobs.recent_list(spark, f"{tmp_path}/*.xml", today, splittable=splittable)
+    assert sorted(r["Name"] for r in people.collect()) == ["new", "old", "undated"]
+    assert groups.count() == 0
+
+
+def test_split_reads_self_closed_records(spark, tmp_path):
+    text = "<a><entity action='x'/><entity/><entity action='y'></entity> <entity action='z' /></a>"
+    path = put(tmp_path, "f.xml", text)
+    whole, split = (
+        sorted(map(str, xml.read_feed(spark, path, splittable=s).collect())) for s in (False, True)
+    )
+    assert whole == split and len(split) == 4
+
+
+@pytest.mark.parametrize("text", [
+    "<n:entity></n:entity>", "<entity></entity >", "<!-- <entity></entity> -->",
+    "<entity><![CDATA[</entity>]]></entity>", "<!-- <entity> --><entity></entity>",
+])
+def test_split_fails_on_tags_it_cannot_follow(spark, tmp_path, text):
+    path = put(tmp_path, "f.xml", f"<a>{text}</a>")
+    with pytest.raises(Exception, match="splittable=False"):
+        xml.read_feed(spark, path, splittable=True).collect()
 
 
 def exports(tmp_path):
