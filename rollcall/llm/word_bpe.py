@@ -10,9 +10,10 @@
 
 So a word occurring in a third of all places travels once per batch, not once per
 occurrence, and no group is larger than a batch or a bucket; the number of buckets is
-the number of shuffle partitions. A batch is keyed by a digest of its word list: tasks
-that are computed again, anywhere and in any grouping, make keys that fit, and a batch
-without its ids is an error, never a shorter result.
+the number of shuffle partitions. A batch is keyed by its task's partition, its number in
+the task and its word list: batches of equal words, as of copies that lie together, stay
+apart. A task that is computed again makes the same keys, and a batch without its ids is
+an error, never a shorter result.
 
 Decoding joins every id with the token-byte table, broadcast: it has one row per id of
 the vocabulary, whatever the data.
@@ -31,6 +32,7 @@ import regex
 import tiktoken
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -108,11 +110,12 @@ def _parts(docs: DataFrame, pattern: str, buckets: int, want: str) -> DataFrame:
     def cut(batches):
         splitter = Splitter(pattern)
         ids, found, chars = [], [], 0
+        partition, number = TaskContext.get().partitionId(), 0
 
         def rows():
             words = list(splitter.words)
             lengths = np.array([len(w) for w in words], dtype="<u4")
-            digest = xxhash.xxh3_128()
+            digest = xxhash.xxh3_128(np.array([partition, number], dtype="<u8").tobytes())
             digest.update(lengths.tobytes())
             digest.update("".join(words).encode())
             key = digest.digest()
@@ -139,7 +142,7 @@ def _parts(docs: DataFrame, pattern: str, buckets: int, want: str) -> DataFrame:
                 if chars >= BATCH_CHARS:
                     yield from rows()
                     splitter.start()
-                    ids, found, chars = [], [], 0
+                    ids, found, chars, number = [], [], 0, number + 1
         if ids:
             yield from rows()
 
@@ -182,7 +185,7 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id",
     placed = _parts(chosen, pattern, buckets, "positions").select("key", "docs", "sizes", "order", "positions")
 
     def put_together(key, left, right):
-        # A key stands for a word list, so parts of equal batches are equal: one of each bucket serves all.
+        # A key stands for one batch: one row of positions, and one of ids for each bucket that has its words.
         parts = {b: (s, i) for b, s, i in zip(*(right.column(n).to_pylist() for n in ("bucket", "sizes", "ids")))}
         in_order = [parts[b] for b in sorted(parts)]
         sizes = np.concatenate([np.empty(0, "<u4"), *[_unpack(s) for s, _ in in_order]]).astype(np.int64)

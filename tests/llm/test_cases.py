@@ -229,6 +229,22 @@ def test_word_bpe(docs, none):
     assert word_bpe.encode(none, RANKS, P.PATTERN).count() == 0
 
 
+def test_word_bpe_keeps_equal_batches_apart(spark, monkeypatch):
+    """Copies that lie together fill batches of the same words, with ids of their own, one id or none."""
+    monkeypatch.setattr(word_bpe, "BATCH_CHARS", 20)
+    rows = [(i, "two words") for i in range(20)] + [(7, "two words")] * 20 + [(None, "two words")] * 20
+    copies = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    chosen = copies.select(F.col("doc_id").alias("id"), "text")
+    keys = {}
+    for want in ("words", "positions"):
+        parts = word_bpe._parts(chosen, P.PATTERN, 1, want).groupBy("key").count().collect()
+        assert len(parts) >= 30 and all(r["count"] == 1 for r in parts)
+        keys[want] = {bytes(r.key) for r in parts}
+    assert keys["words"] == keys["positions"]
+    got = word_bpe.encode(copies, RANKS, P.PATTERN).collect()
+    same([(r.doc_id, len(r.ids) // 4, brute.sha(bytes(r.ids))) for r in got], [(d, *brute.word_bpe(t)[:2]) for d, t in rows])
+
+
 def test_language(spark, none):
     en, de = "the cat and the dog went to the house with this", "der Hund und die Katze gingen zu dem Haus mit dieser"
     ru = "кошка и собака пошли в дом"
