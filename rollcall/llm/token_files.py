@@ -43,7 +43,7 @@ CHUNKS = ("shard int, chunk int, first long, n_ids long, planes_per_block int, d
           "doc_sizes array<long>, planes array<binary>")
 SLICE_BYTES = 6_000_000
 # White space as any of the libraries understands it.
-_BLANK_EDGE = "^$|^[{0}]|[{0}]$".format("\\s\\x1c-\\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000")
+_BLANK_EDGE = "^$|^[{0}]|[{0}]$".format("\\s\\x0b\\x1c-\\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000")
 _JOINT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -68,7 +68,7 @@ class Encoder:
         if not piece:
             return b""
         if max(piece) > LATIN:
-            return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            return self._whole(piece)
         return b"".join(map(self._token, self.find(piece)))
 
     def _token(self, token: str) -> bytes:
@@ -93,7 +93,10 @@ class Encoder:
         inner[firsts] = False
         coded = pieces.filter(pa.array(inner)).dictionary_encode()
         units = coded.dictionary
-        ids, sizes, odd = self._units(units)
+        found = self._units(units)
+        if found is None:
+            return [self._whole(t or "") for t in texts.to_pylist()]
+        ids, sizes, odd = found
         own = [self._encode_piece(p) for p in pieces.take(pa.array(firsts)).to_pylist()]
         # Units of all texts in order: a text's first piece, then its inner ones.
         order = np.empty(len(pieces), dtype=np.int64)
@@ -112,8 +115,14 @@ class Encoder:
             out[k] = self._by_joints(texts[k].as_py())
         return out
 
-    def _units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of pieces with a space put before each, one after another; their numbers; which have blank edges."""
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """Ids of pieces with a space put before each, one after another; their numbers; which have blank edges.
+
+        None if the pieces were not split where they begin.
+        """
         odd = pc.match_substring_regex(units, _BLANK_EDGE).to_numpy(zero_copy_only=False)
         wide = pc.match_substring_regex(units, f"[^\\x00-{LATIN}]").to_numpy(zero_copy_only=False) & ~odd
         plain = np.flatnonzero(~odd & ~wide)
@@ -121,7 +130,7 @@ class Encoder:
         tokens = pa.array(self.find("".join([" " + u for u in units.take(pa.array(plain)).to_pylist()])), pa.string())
         begins = np.flatnonzero(pc.starts_with(tokens, " ").to_numpy(zero_copy_only=False))
         if len(begins) != len(plain):
-            raise ValueError("pieces were not split where they begin")
+            return None
         coded = tokens.dictionary_encode()
         known = [self._token(t) for t in coded.dictionary.to_pylist()]
         token_sizes = np.array([len(k) // 4 for k in known], dtype=np.int64)

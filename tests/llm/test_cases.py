@@ -4,6 +4,7 @@ import random
 import tempfile
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,6 +102,27 @@ def test_token_files(spark, docs, none, planes):
     assert token_files.read_ids(spark, path + "0").count() == 0
 
 
+def test_token_files_of_blanks_beside_spaces():
+    """Every blank on both sides of a space, in slices of one text and of many."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_str(JSON.decode())
+    encoder = token_files.Encoder(JSON, P.PATTERN)
+    blanks = [chr(c) for c in range(0x10000) if chr(c).isspace()]
+    assert "\x0b" in blanks and len(blanks) > 25
+    texts = [t for b in blanks for t in (f"q a{b} {b}b", f"a {b}b c", f"a b{b} c", f"{b} a", f"a {b}")]
+    for some in (texts, *[[t] for t in texts]):
+        got = [np.frombuffer(i, dtype="<u4").tolist() for i in encoder.encode(pa.array(some))]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in some]
+
+
+def test_token_files_fall_back_to_whole_texts(monkeypatch):
+    encoder = token_files.Encoder(JSON, P.PATTERN)
+    want = encoder.encode(pa.array(["a b c", None, "d e"]))
+    monkeypatch.setattr(encoder, "_units", lambda units: None)
+    assert encoder.encode(pa.array(["a b c", None, "d e"])) == want
+
+
 def test_planes_round_trip():
     ids = np.array([0, 1, 255, 256, 65535, 65536, 2**32 - 1] * 37, dtype="<u4")
     for kind, n in (("bit", 32), ("byte", 4)):
