@@ -45,7 +45,7 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "ids")
     vocabulary = file_bytes(public_tokenizers.path("byte_bpe_50k.json"))
-    token_files.write_ids(table(spark, sf_dir, "documents"), path, vocabulary, public_tokenizers.PATTERN)
+    token_files.write_ids(table(spark, sf_dir, "documents"), path, vocabulary, public_tokenizers.PATTERN, special=True)
 
     def crc(batches):
         for b in batches:

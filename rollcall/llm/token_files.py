@@ -52,13 +52,16 @@ class Encoder:
 
     A new piece of Latin text is split by the byte-level pattern, and each pre-token is
     merged by the library's model; any other piece is encoded by the library as a whole.
+    With ``special`` the strings of special tokens in a text become their ids, as in a
+    plain call of the library; a text that holds an added token is encoded as a whole.
     """
 
-    def __init__(self, vocabulary: bytes, pattern: str) -> None:
+    def __init__(self, vocabulary: bytes, pattern: str, special: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary.decode())
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not special  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if special or not t.special]
         self.model = self.tokenizer.model
         self.find = regex.compile(pattern).findall
         self.letters = _byte_letters()
@@ -111,8 +114,13 @@ class Encoder:
         for k in np.flatnonzero(np.diff(ends) > 1):
             text = pieces[firsts[k]].as_py()
             joined[k] |= not text or text[-1].isspace()
-        for k in np.flatnonzero(joined):
+        added = np.zeros(len(out), dtype=bool)
+        for content in self.added:
+            added |= pc.match_substring(pc.fill_null(texts, ""), content).to_numpy(zero_copy_only=False)
+        for k in np.flatnonzero(joined & ~added):
             out[k] = self._by_joints(texts[k].as_py())
+        for k in np.flatnonzero(added):
+            out[k] = self._whole(texts[k].as_py())
         return out
 
     def _whole(self, text: str) -> bytes:
@@ -216,15 +224,19 @@ def _slices(batch: pa.RecordBatch, column: int):
 
 
 def write_ids(docs: DataFrame, path: str, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-              planes: str = "byte", block: int = BLOCK, chunk: int = CHUNK, end_id: int = END_ID, level: int = 3) -> None:
-    """Encode ``docs`` and write the id files; ``vocabulary`` is a byte-level tokenizer's JSON, ``pattern`` its split."""
+              planes: str = "byte", block: int = BLOCK, chunk: int = CHUNK, end_id: int = END_ID, level: int = 3,
+              special: bool = False) -> None:
+    """Encode ``docs`` and write the id files; ``vocabulary`` is a byte-level tokenizer's JSON, ``pattern`` its split.
+
+    Strings of special tokens in a text are ordinary text, or with ``special`` their ids.
+    """
     if planes not in ("bit", "byte") or block % 8:
         raise ValueError("planes are 'bit' or 'byte', and a block is a multiple of 8 ids")
     per_block = 32 if planes == "bit" else 4
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def encode(batches):
-        encoder, number, first = Encoder(sent.value, pattern), 0, 0
+        encoder, number, first = Encoder(sent.value, pattern, special), 0, 0
         shard, ids, doc_ids, sizes, held = None, [], [], [], 0
 
         def row():

@@ -2,6 +2,7 @@
 
 import random
 import tempfile
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -116,6 +117,22 @@ def test_token_files_of_blanks_beside_spaces():
         assert got == [library.encode(t, add_special_tokens=False).ids for t in some]
 
 
+def test_token_query_takes_special_tokens_as_the_library_does(spark):
+    """The registered query against plain library calls, on texts that quote the token."""
+    from tokenizers import Tokenizer
+
+    library, folder = Tokenizer.from_str(JSON.decode()), tempfile.mkdtemp(prefix="run-")
+    texts = [*TEXTS, "<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|><|endoftext|> 中 \x0b b", "<|endoftext", "|> <|endoftext|>\n x"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    at, want = 0, []
+    for d, t in enumerate(texts):
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 0]
+        want.append((d, at, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
+        at += len(ids)
+    assert 50256 in library.encode(texts[9], add_special_tokens=False).ids
+    same(map(tuple, queries.op3_token_files(spark, folder).collect()), want)
+
+
 def test_token_files_fall_back_to_whole_texts(monkeypatch):
     encoder = token_files.Encoder(JSON, P.PATTERN)
     want = encoder.encode(pa.array(["a b c", None, "d e"]))
