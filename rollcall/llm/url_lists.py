@@ -11,7 +11,7 @@ Verdicts depend on address and day alone, so equal captures are looked up once.
 interval join is an equi-join on the key with the days as a condition; Spark broadcasts
 the lists if they are small, and splits hosts with many captures otherwise. Entries of
 one key, list and day are merged before the intervals are formed, so a key's group has
-at most one row per day.
+at most one row per day. Hosts are compared in lower case, paths as they are written.
 
 Defined cases: captures without an address or day are not blocked; of entries of one
 list, key and day, "allow" comes before "block" and "block" before "remove"; entries
@@ -45,11 +45,17 @@ def keys_of(url: Column) -> Column:
     return F.when(host.isNotNull(), F.array_distinct(F.concat(domains, paths)))
 
 
+def list_key(key: Column) -> Column:
+    """A list's key with its host in lower case; the path stays as written."""
+    host = F.substring_index(key, "/", 1)
+    return F.concat(F.lower(host), F.substring(key, F.length(host) + 1, F.length(key)))
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """``list``, ``key``, ``action``, ``since`` and ``until`` (the first day it no longer holds)."""
     rank = F.array_position(F.array(*[F.lit(a) for a in ACTIONS]), F.col("action"))
     known = entries.filter(F.col("key").isNotNull() & F.col("since").isNotNull() & F.col("action").isin(*ACTIONS))
-    daily = known.groupBy("list", F.lower("key").alias("key"), F.col("since").cast("date").alias("since")).agg(F.min(rank).alias("rank"))
+    daily = known.groupBy("list", list_key(F.col("key")).alias("key"), F.col("since").cast("date").alias("since")).agg(F.min(rank).alias("rank"))
     following = F.lead("since").over(W.partitionBy("list", "key").orderBy("since"))
     action = F.element_at(F.array(*[F.lit(a) for a in ACTIONS]), F.col("rank").cast("int"))
     return daily.select("list", "key", action.alias("action"), "since", following.alias("until")).filter("action != 'remove'")

@@ -261,6 +261,15 @@ def test_url_lists(spark):
     assert url_lists.apply_lists(spark.createDataFrame([], "page_id long, url string, fetched string"), lists).count() == 0
 
 
+def test_url_lists_keep_the_case_of_paths(spark):
+    entries = [("l", "Example.org/Shop", "block", "2024-01-01"), ("m", "EXAMPLE.org/Shop/Ok", "allow", "2024-01-01")]
+    urls = ["http://example.ORG/Shop/1", "http://example.org/shop/1", "http://example.org/Shop/Ok/2", "http://example.org/"]
+    got = url_lists.apply_lists(spark.createDataFrame([(i, u, "2024-02-01") for i, u in enumerate(urls)], "page_id long, url string, fetched string"),
+                                spark.createDataFrame(entries, "list string, key string, action string, since string")).collect()
+    assert sorted((r.page_id, r.blocked, r.decided_by) for r in got) == [
+        (0, True, "example.org/Shop"), (1, False, None), (2, False, "example.org/Shop/Ok"), (3, False, None)]
+
+
 def test_word_bpe(docs, none):
     coded = word_bpe.decode(word_bpe.encode(docs, RANKS, P.PATTERN), RANKS)
     got = [(r.doc_id, len(r.ids) // 4, brute.sha(bytes(r.ids)), brute.sha(bytes(r.decoded))) for r in coded.collect()]
