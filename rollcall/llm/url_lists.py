@@ -3,8 +3,9 @@
 A list is a table of dated entries: a key (a domain, or a domain with the first parts of
 a path) is blocked, allowed or removed from a day on. An entry holds until the list's
 next entry for the same key, so the entries become validity intervals. A capture is
-looked up under its host, the domains above it and its path, and meets at most one
-interval per list and key: that which covers its fetch day. Of all active entries the
+looked up under its host, the domains above it and its path, up to as many parts as the
+longest entry has, and meets at most one interval per list and key: that which covers
+its fetch day. Of all active entries the
 longest key decides, and of equal ones the permission.
 
 Verdicts depend on address and day alone, so equal captures are looked up once. The
@@ -23,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-PATH_PARTS = 2
 ACTIONS = ("allow", "block", "remove")  # in order of precedence
 
 
@@ -32,15 +32,15 @@ def host_of(url: Column) -> Column:
     return F.nullif(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def keys_of(url: Column) -> Column:
-    """Keys a list may have for the address: its domains, and its host with path parts."""
+def keys_of(url: Column, path_parts: int) -> Column:
+    """Keys a list may have for the address: its domains, and its host with up to ``path_parts`` path parts."""
     host = host_of(url)
     labels = F.split(host, r"\.")
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)", 1)
     parts = F.filter(F.split(path, "/"), lambda p: p != "")
     paths = F.transform(
-        F.filter(F.array(*[F.lit(i) for i in range(1, PATH_PARTS + 1)]), lambda i: i <= F.size(parts)),
+        F.filter(F.sequence(F.lit(0), F.least(F.size(parts), F.lit(path_parts))), lambda i: i > 0),
         lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(parts, 1, i), "/")))
     return F.when(host.isNotNull(), F.array_distinct(F.concat(domains, paths)))
 
@@ -61,11 +61,16 @@ def intervals(entries: DataFrame) -> DataFrame:
     return daily.select("list", "key", action.alias("action"), "since", following.alias("until")).filter("action != 'remove'")
 
 
+def longest_path(entries: DataFrame) -> int:
+    """The greatest number of path parts of any entry's key."""
+    return entries.agg(F.max(F.size(F.split("key", "/")) - 1)).first()[0] or 0
+
+
 def apply_lists(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url", day_col: str = "fetched") -> DataFrame:
     """One row per capture: ``page_id``, ``url``, ``fetched``, ``n_active``, ``decided_by`` and ``blocked``."""
     rows = captures.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(day_col).cast("date").alias("fetched"))
     asked = rows.select("url", "fetched").filter("url IS NOT NULL AND fetched IS NOT NULL").distinct()
-    looked = asked.select("url", "fetched", F.explode(keys_of(F.col("url"))).alias("key"))
+    looked = asked.select("url", "fetched", F.explode(keys_of(F.col("url"), longest_path(entries))).alias("key"))
     active = looked.join(intervals(entries), "key").filter((F.col("since") <= F.col("fetched")) & (F.col("until").isNull() | (F.col("fetched") < F.col("until"))))
     order = F.struct(F.length("key").alias("size"), (F.col("action") == "allow").alias("allow"), F.col("key"))
     decided = active.groupBy("url", "fetched").agg(F.max(order).alias("best"), F.count("*").alias("n_active"))

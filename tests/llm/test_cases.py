@@ -270,6 +270,19 @@ def test_url_lists_keep_the_case_of_paths(spark):
         (0, True, "example.org/Shop"), (1, False, None), (2, False, "example.org/Shop/Ok"), (3, False, None)]
 
 
+def test_url_lists_of_long_paths(spark):
+    entries = [("l", "example.org/a/b/c/d/e", "block", "2024-01-01"), ("m", "example.org/a/b/c", "block", "2024-01-01"),
+               ("m", "example.org/a/b/c/d", "allow", "2024-01-01")]
+    urls = ["http://example.org/a/b/c/d/e/f", "http://example.org/a/b/c/d/e", "http://example.org/a/b/c/d/x", "http://example.org/a/b/c", "http://example.org/a/b"]
+    captures = spark.createDataFrame([(i, u, "2024-02-01") for i, u in enumerate(urls)], "page_id long, url string, fetched string")
+    lists = spark.createDataFrame(entries, "list string, key string, action string, since string")
+    got = url_lists.apply_lists(captures, lists).collect()
+    five = "example.org/a/b/c/d/e"
+    assert sorted((r.page_id, r.n_active, r.blocked, r.decided_by) for r in got) == [
+        (0, 3, True, five), (1, 3, True, five), (2, 2, False, five[:-2]), (3, 1, True, five[:-4]), (4, 0, False, None)]
+    assert not url_lists.apply_lists(captures, lists.limit(0)).filter("n_active > 0").count()
+
+
 def test_word_bpe(docs, none):
     coded = word_bpe.decode(word_bpe.encode(docs, RANKS, P.PATTERN), RANKS)
     got = [(r.doc_id, len(r.ids) // 4, brute.sha(bytes(r.ids)), brute.sha(bytes(r.decoded))) for r in coded.collect()]
