@@ -3,7 +3,9 @@
 A version's content is its blob, addressed by SHA-256. The ledger, a Parquet table, holds
 for each blob the rule versions it was scanned with and the matches found. A scan keeps
 the blobs that the ledger lacks for some rule version, scans them for those rules only,
-appends what it did, and joins all findings back to every path that holds the blob.
+appends what it did, and joins the findings of the asked rule versions back to every path
+that holds the blob. Runs without a rule version, as older ledgers have, do not count as
+scanned.
 Copies of a blob are dropped before the shuffle, so a content that makes up a third of
 all rows is moved once per task and scanned once.
 
@@ -58,7 +60,8 @@ RULES = (
 )
 #: Every match of a rule begins with or holds one of these.
 SIGNS = r"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{32}|gh[opsur]_|AIza|eyJ|-----BEGIN |xox[abeoprs]-"
-LEDGER = "blob string, rules array<string>, runs array<struct<kind:string,gaps:array<int>,sizes:array<int>,values:array<int>>>"
+RUNS = "array<struct<kind:string,version:string,gaps:array<int>,sizes:array<int>,values:array<int>>>"
+LEDGER = f"blob string, rules array<string>, runs {RUNS}"
 
 
 def _runs(content: Column, rule: Rule) -> Column:
@@ -68,7 +71,7 @@ def _runs(content: Column, rule: Rule) -> Column:
     sizes = let(F.regexp_extract_all(content, pattern, F.lit(0)), lengths)
     values = let(F.regexp_extract_all(content, pattern, F.lit(rule.value)), lengths) if rule.value else F.array().cast("array<int>")
     return F.struct(
-        F.lit(rule.kind).alias("kind"), lengths(F.split(content, rule.pattern)).alias("gaps"), sizes.alias("sizes"), values.alias("values"))
+        F.lit(rule.kind).alias("kind"), F.lit(rule.version).alias("version"), lengths(F.split(content, rule.pattern)).alias("gaps"), sizes.alias("sizes"), values.alias("values"))
 
 
 def _with_blobs(versions: DataFrame, path_col: str, content_col: str) -> DataFrame:
@@ -94,7 +97,8 @@ def scan_unseen(versions: DataFrame, ledger: str, path_col: str = "path", conten
     """Scan what the ledger lacks, and append it."""
     spark = versions.sparkSession
     wanted = F.array(*[F.lit(r.version) for r in rules])
-    seen = read_ledger(spark, ledger).select("blob", F.explode("rules").alias("rule"))
+    known = read_ledger(spark, ledger).filter(~F.exists("runs", lambda r: r["version"].isNull()))
+    seen = known.select("blob", F.explode("rules").alias("rule"))
     # A blob has a row per rule version at most, however often it was scanned.
     seen = seen.groupBy("blob").agg(F.collect_set("rule").alias("seen"))
     blobs = _with_blobs(versions, path_col, content_col).select("blob", "content").dropDuplicates(["blob"])
@@ -105,7 +109,7 @@ def scan_unseen(versions: DataFrame, ledger: str, path_col: str = "path", conten
         F.array(*[F.when(F.array_contains("todo", r.version), _runs(content, r)) for r in rules]),
         lambda r: r.isNotNull() & (F.size(r["sizes"]) > 0),
     )
-    none = F.expr("cast(array() as array<struct<kind:string,gaps:array<int>,sizes:array<int>,values:array<int>>>)")
+    none = F.expr(f"cast(array() as {RUNS})")
     signs = F.lit(True) if any(r not in RULES for r in rules) else content.rlike(SIGNS)
     scanned = fresh.select("blob", F.col("todo").alias("rules"), F.when(signs, runs).otherwise(none).alias("runs"))
     scanned.write.mode("append").parquet(ledger)
@@ -113,14 +117,15 @@ def scan_unseen(versions: DataFrame, ledger: str, path_col: str = "path", conten
 
 def findings(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``blob`` and ``spans`` (start, number of the rule, kind, end) of blobs with any, in order."""
-    known = read_ledger(spark, ledger).select("blob", F.explode("runs").alias("r")).select("blob", "r.*").dropDuplicates(["blob", "kind"])
-    parts = known.select("blob", "kind", F.posexplode(F.arrays_zip("gaps", "sizes", "values")).alias("at", "part")).select(
-        "blob", "kind", "at", "part.*").filter("sizes IS NOT NULL")
-    before = W.partitionBy("blob", "kind").orderBy("at").rowsBetween(W.unboundedPreceding, W.currentRow)  # one text's matches
+    known = read_ledger(spark, ledger).select("blob", F.explode("runs").alias("r")).select("blob", "r.*")
+    known = known.filter(F.col("version").isin([r.version for r in rules])).dropDuplicates(["blob", "version"])
+    parts = known.select("blob", "kind", "version", F.posexplode(F.arrays_zip("gaps", "sizes", "values")).alias("at", "part")).select(
+        "blob", "kind", "version", "at", "part.*").filter("sizes IS NOT NULL")
+    before = W.partitionBy("blob", "version").orderBy("at").rowsBetween(W.unboundedPreceding, W.currentRow)  # one text's matches
     end = F.sum(F.col("gaps") + F.col("sizes")).over(before)
-    placed = parts.select("blob", "kind", (end - F.col("sizes")).alias("start"), end.alias("end"), F.coalesce("values", "sizes").alias("value"))
-    number = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.kind, i)])[F.col("kind")]
-    least = F.create_map(*[F.lit(x) for r in rules for x in (r.kind, r.least)])[F.col("kind")]
+    placed = parts.select("blob", "kind", "version", (end - F.col("sizes")).alias("start"), end.alias("end"), F.coalesce("values", "sizes").alias("value"))
+    number = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.version, i)])[F.col("version")]
+    least = F.create_map(*[F.lit(x) for r in rules for x in (r.version, r.least)])[F.col("version")]
     held = placed.filter(F.col("value") >= least).select("blob", F.struct("start", number.alias("no"), "kind", "end").alias("span"))
     return held.groupBy("blob").agg(F.sort_array(F.collect_list("span")).alias("spans"))  # one text's findings
 

@@ -220,6 +220,29 @@ def test_secret_ledger_scans_only_the_unseen(spark):
     assert new.count() == 3 and new.filter(F.size("rules") > 1).count() == 0
 
 
+def test_secret_ledger_keeps_rule_versions_apart(spark):
+    """A changed pattern of one kind on a kept ledger, and the old one again."""
+    versions = spark.createDataFrame([("p0", "xx old-1 new-22"), ("p1", "old-3"), ("p2", "new-44 new-5")], "path string, content string")
+    ledger = secret_scan.new_ledger(spark)
+    old, new = secret_scan.Rule("mark", "old-[0-9]+"), secret_scan.Rule("mark", "new-[0-9]+")
+    spans = lambda *rules: {r.path: [(s.no, s.start, s.end) for s in r.spans] for r in secret_scan.scan_secrets(versions, ledger, rules=rules).collect()}
+    of_old, of_new = {"p0": [(0, 3, 8)], "p1": [(0, 0, 5)], "p2": []}, {"p0": [(0, 9, 15)], "p1": [], "p2": [(0, 0, 6), (0, 7, 12)]}
+    assert spans(old) == of_old and spans(new) == of_new and spans(old) == of_old
+    assert secret_scan.read_ledger(spark, ledger).count() == 6
+    assert spans(new, old) == {"p0": [(1, 3, 8), (0, 9, 15)], "p1": [(1, 0, 5)], "p2": [(0, 0, 6), (0, 7, 12)]}
+
+
+def test_secret_ledger_without_versions_is_scanned_again(spark):
+    versions = spark.createDataFrame([("p0", "a mark-1"), ("p1", "none")], "path string, content string")
+    ledger, rules = secret_scan.new_ledger(spark), (secret_scan.Rule("mark", "mark-[0-9]"),)
+    secret_scan.scan_secrets(versions, ledger, rules=rules)
+    before = secret_scan.new_ledger(spark)
+    runs = F.transform("runs", lambda r: r.dropFields("version"))
+    secret_scan.read_ledger(spark, ledger).withColumn("runs", runs).write.parquet(before)
+    got = secret_scan.scan_secrets(versions, before, rules=rules).collect()
+    assert {(r.path, len(r.spans)) for r in got} == {("p0", 1), ("p1", 0)} and secret_scan.read_ledger(spark, before).count() == 3
+
+
 def test_redact(docs):
     got = {r.doc_id: r for r in secret_scan.redact(docs, size_col="fp").collect()}
     assert got[11].text.startswith("[SECRET] token=short [SECRET] [SECRET]") and got[11].fp == len(got[11].text)
