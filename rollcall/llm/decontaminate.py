@@ -5,7 +5,8 @@ window) are gathered, measured, and broadcast if they take at most ``MAX_BYTES``
 turns the words of its documents into numbers, hashes every window of a document by
 arrays, looks the hashes up, and verifies each hit word by word. A larger benchmark is
 broadcast in blocks of that size, one pass over the documents each, whose findings are
-carried along as columns; no document is shuffled either way.
+carried along as columns; no document is shuffled either way. Passages are cut after the
+last pass, so the number of blocks makes no difference.
 
 Defined cases: null, empty and word-free texts have no words and no hits; items that are
 null or word-free have no windows; items repeated under one id count once; a null item id
@@ -27,7 +28,8 @@ from rollcall.operators.small_tables import materialise
 N = 13
 MAX_BYTES = 64 * 1024 * 1024
 _SLICE_WORDS = 500_000
-FOUND = "id long, row long, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
+SPANS = "array<struct<start:long,end:long>>"
+FOUND = f"id long, row long, n_words long, spans {SPANS}, items array<string>"
 
 
 def windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", n: int = N) -> DataFrame:
@@ -143,7 +145,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     blocks = _blocks(grams, max_bytes)
     now = docs.select(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("row"), F.lit(0).cast("long").alias("n_words"),
-        F.expr("cast(array() as array<struct<start:long,end:long>>)").alias("spans"),
+        F.expr(f"cast(array() as {SPANS})").alias("spans"),
         F.expr("cast(array() as array<string>)").alias("items"), F.col(text_col).alias("text"),
     )
     for k, block in enumerate(blocks):
@@ -195,17 +197,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "document",
         raise ValueError(f"mode {mode!r} is neither 'document' nor 'span'")
     context = docs.sparkSession.sparkContext
     blocks = _blocks(materialise(windows(benchmark, item_col, "text", n)), max_bytes)
-    place = docs.columns.index(text_col)
+    place, width = docs.columns.index(text_col), len(docs.columns)
     if len(blocks) > 1 and mode == "document":
         # Hits of all blocks count together, so the verdict comes after the last pass.
         found = verdicts(scan(docs.withColumn("_rollcall_id", F.lit(None).cast("long")), benchmark, "_rollcall_id", text_col, n, max_bytes, item_col))
         bad = found.filter("contaminated").select(F.col("row").alias("_rollcall_row")).distinct()
         return docs.withColumn("_rollcall_text", F.xxhash64(text_col)).join(bad, F.col("_rollcall_text") == F.col("_rollcall_row"), "left_anti").drop("_rollcall_text")
-    now = docs
-    for block in blocks:
+    now = docs if len(blocks) == 1 else docs.withColumn("_rollcall_spans", F.expr(f"cast(array() as {SPANS})"))
+    carried = now.schema
+    for k, block in enumerate(blocks):
         sent = context.broadcast([(r.item, r.gram) for r in block.collect()])  # at most max_bytes
+        last = k == len(blocks) - 1
 
-        def clean(batches, sent=sent):
+        def clean(batches, sent=sent, last=last):
             grams = Grams(sent.value)
             for b in batches:
                 texts = b.column(place).to_pylist()
@@ -213,9 +217,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "document",
                 if mode == "document":
                     hit = [sum(e - s for s, e in spans) for _, spans, _ in rows]
                     yield b.filter(pa.array([not (h and 20 * h >= r[0]) for h, r in zip(hit, rows)], pa.bool_()))
+                    continue
+                found = [spans for _, spans, _ in rows]
+                if len(carried) > width:
+                    before = b.column(width).to_pylist()
+                    found = [_merged([(s["start"], s["end"]) for s in old] + spans) for old, spans in zip(before, found)]
+                if last:
+                    new = [_cut(t, spans) if spans else t for t, spans in zip(texts, found)]
+                    b = b.set_column(place, b.schema.field(place), pa.array(new, b.schema.field(place).type))
+                    yield b.select(list(range(width)))
                 else:
-                    new = [_cut(t, spans) if spans else t for t, (_, spans, _) in zip(texts, rows)]
-                    yield b.set_column(place, b.schema.field(place), pa.array(new, b.schema.field(place).type))
+                    spans = [[{"start": s, "end": e} for s, e in x] for x in found]
+                    yield b.set_column(width, b.schema.field(width), pa.array(spans, b.schema.field(width).type))
 
-        now = now.mapInArrow(clean, docs.schema)
+        now = now.mapInArrow(clean, docs.schema if last else carried)
+        if not last:
+            now = materialise(now)
     return now

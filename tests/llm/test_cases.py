@@ -269,6 +269,22 @@ def test_decontamination(spark, none, max_bytes):
     assert decontaminate.scan(none, bench).count() == 0 and decontaminate.scan(docs, bench.limit(0)).filter("size(items) > 0").count() == 0
 
 
+def test_spans_are_cut_alike_in_blocks(spark):
+    """Whole passages go, however many blocks their windows lie in, and a cut makes no new hits."""
+    words = [f"w{i}" for i in range(200)]
+    items = [("a", " ".join(words[:40])), ("b", " ".join(words[60:75])), ("c", "short item"), ("d", " ".join(words[100:107] + words[120:126]))]
+    rows = [(0, " ".join(words)), (1, " ".join(words[:40]) + " left"), (2, None), (3, "a short, item here"),
+            (4, " ".join(words[100:107] + words[60:75] + words[120:126])), (1, " ".join(words[:40]) + " left")]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, spans int")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    one, many = (decontaminate.decontaminate(docs, bench, "span", max_bytes=m) for m in (decontaminate.MAX_BYTES, 2000))
+    assert many.schema == docs.schema
+    same(map(tuple, many.collect()), map(tuple, one.collect()))
+    cut = {r.doc_id: r.text for r in many.collect()}
+    assert cut[0] == f"{' '.join([' ', *words[40:60]])}  {' '.join(words[75:])}".removeprefix(" ") and cut[1] == " left" and cut[2] is None
+    assert cut[3] == "a  here" and cut[4] == " ".join(words[100:107]) + "  " + " ".join(words[120:126])
+
+
 def test_url_lists(spark):
     day = "2024-0{}-01".format
     entries = [("l", "Example.org", "block", day(2)), ("l", "example.org", "remove", day(4)), ("l", "example.org", "block", day(6)),
