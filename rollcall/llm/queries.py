@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.checks import CHECKS  # noqa: F401
 from rollcall.llm import (
-    decontaminate, language, licenses, quality, secret_scan, simhash, token_files, url_lists, warc, word_bpe,
+    alignment, decontaminate, language, licenses, quality, secret_scan, simhash, token_files, url_lists, warc, word_bpe,
 )
 from rollcall.operators.small_tables import shared_folder
 
@@ -130,7 +130,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", in_fold("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(
+        table(spark, sf_dir, "documents"), file_bytes(public_tokenizers.path("byte_bpe_50k.json")), public_tokenizers.PATTERN,
+        file_bytes(public_tokenizers.path("piece_bpe_32k.model")), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_licenses, op3_token_files, op4_simhash, op5_warc, op6_secrets, op7_decontamination, op8_url_filters,
-    op9_word_bpe, op10_language,
+    op9_word_bpe, op10_language, op11_alignment,
 )}

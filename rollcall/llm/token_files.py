@@ -67,7 +67,7 @@ class Encoder:
         self.letters = _byte_letters()
         self.tokens: dict[str, bytes] = {}
 
-    def _encode_piece(self, piece: str) -> bytes:
+    def encode_piece(self, piece: str) -> bytes:
         if not piece:
             return b""
         if max(piece) > LATIN:
@@ -100,7 +100,7 @@ class Encoder:
         if found is None:
             return [self._whole(t or "") for t in texts.to_pylist()]
         ids, sizes, odd = found
-        own = [self._encode_piece(p) for p in pieces.take(pa.array(firsts)).to_pylist()]
+        own = [self.encode_piece(p) for p in pieces.take(pa.array(firsts)).to_pylist()]
         # Units of all texts in order: a text's first piece, then its inner ones.
         order = np.empty(len(pieces), dtype=np.int64)
         order[inner] = coded.indices.to_numpy()
@@ -147,7 +147,7 @@ class Encoder:
         sizes = np.zeros(len(units) + 1, dtype=np.int64)
         sizes[plain] = np.add.reduceat(token_sizes[at], begins) if len(begins) else 0
         # Plain pieces first, then the wide ones, then put in the order of the units.
-        others = [self._encode_piece(" " + u) for u in units.take(pa.array(np.flatnonzero(wide))).to_pylist()]
+        others = [self.encode_piece(" " + u) for u in units.take(pa.array(np.flatnonzero(wide))).to_pylist()]
         sizes[np.flatnonzero(wide)] = [len(o) // 4 for o in others]
         sizes = sizes[:-1]
         stored = np.concatenate([plain, np.flatnonzero(wide), np.flatnonzero(odd)])
@@ -157,7 +157,7 @@ class Encoder:
     def _by_joints(self, text: str) -> bytes:
         """The same for texts with other white space beside single spaces."""
         first, *rest = _JOINT.split(text)
-        return b"".join(map(self._encode_piece, [first, *[" " + p for p in rest]]))
+        return b"".join(map(self.encode_piece, [first, *[" " + p for p in rest]]))
 
 
 def gather(values: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> np.ndarray:

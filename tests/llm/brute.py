@@ -151,3 +151,41 @@ def word_bpe(text):
         _ENCODING = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     ids = _ENCODING.encode_ordinary(text or "")
     return (len(ids), sha(struct.pack(f"<{len(ids)}I", *ids)), sha(text or ""))
+
+
+def alignment(rows):
+    """rows: (doc_id, text); both libraries on whole texts, groups by walking the bytes."""
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    a_lib = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    a_lib.encode_special_tokens = True
+    b_lib = SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+    done, counts = [], Counter()
+    for doc, text in rows:
+        a, b = a_lib.encode(" " + (text or ""), add_special_tokens=False).ids, b_lib.encode(text or "")
+        a_bytes = [bytes(byte_of[c] for c in a_lib.id_to_token(i)) for i in a]
+        b_bytes = [bytes([int(p[3:5], 16)]) if re.fullmatch("<0x..>", p) else p.replace("\u2581", " ").encode() for p in map(b_lib.id_to_piece, b)]
+        whole = (" " + (text or "")).encode()
+        if not text or b"".join(a_bytes) != whole or b"".join(b_bytes) != whole:
+            a, b, a_bytes, b_bytes = [], [], [], []
+        a_end, b_end = {}, {}
+        for ends, tokens in ((a_end, a_bytes), (b_end, b_bytes)):
+            at = 0
+            for k, t in enumerate(tokens):
+                at += len(t)
+                ends[at] = k
+        common = sorted(a_end.keys() & b_end.keys())
+        links = [(a[a_end[e]], b[b_end[e]]) for e in common]
+        counts.update(links)
+        groups, i, j = [], 0, 0
+        for e in common:
+            groups.append(",".join(map(str, a[i : a_end[e] + 1])) + "|" + ",".join(map(str, b[j : b_end[e] + 1])))
+            i, j = a_end[e] + 1, b_end[e] + 1
+        done.append((doc, len(a), len(b), links, sha(";".join(groups)) if groups else ""))
+    top = {}
+    for (_, b), n in counts.items():
+        top[b] = max(n, top.get(b, 0))
+    return [(d, n_a, n_b, len(links), len(links), sum(counts[x] == top[x[1]] for x in links), sum(counts[x] for x in links), h) for d, n_a, n_b, links, h in done]

@@ -28,6 +28,7 @@ WANTED = {
     "op6_secrets": lambda: [(d, *brute.secrets(t)[:4]) for d, t in rows(DOCS)],
     "op7_decontamination": lambda: brute.decontamination(rows(DOCS), rows(ITEMS)),
     "op9_word_bpe": lambda: [(d, *brute.word_bpe(t)) for d, t in rows(DOCS)],
+    "op11_alignment": lambda: brute.alignment(rows(DOCS)),
 }
 
 
