@@ -189,3 +189,63 @@ def alignment(rows):
     for (_, b), n in counts.items():
         top[b] = max(n, top.get(b, 0))
     return [(d, n_a, n_b, len(links), len(links), sum(counts[x] == top[x[1]] for x in links), sum(counts[x] for x in links), h) for d, n_a, n_b, links, h in done]
+
+
+BLANK = " \t\n\x0b\f\r"
+
+
+def damaged(rows):
+    """rows: (conv_id, turn, role, text); the rows of each conversation after damage, in order."""
+    out = {}
+    for conv, turn, role, text in rows:
+        here = out.setdefault(conv, [])
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if kind:
+            text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+            here += [(turn, "user" if kind == 4 else role, text)] * (1 + (kind == 3))
+    return {c: sorted(r, key=lambda x: (x[0] is not None, x[0] or 0, *x[1:])) for c, r in out.items()}
+
+
+def repaired(rows):
+    """rows: (turn, role, text) in order. Every way of editing is followed by cost, then by letters."""
+    import heapq
+
+    faults, seen = [], set()
+    for _, role, text in rows:
+        end = text.rstrip(BLANK)[-1:]
+        faults.append("blank" if not end else "duplicate" if (role, text) in seen else "" if end in ".!?" else "truncated")
+        seen.add((role, text))
+    legal, whole = re.compile("(s?(ua)*u?)"), re.compile("(s?(ua)+)?")
+    heap, done = [(0, "", 0, "", ())], set()
+    while heap:
+        cost, audit, at, roles, kept = heapq.heappop(heap)
+        if at == len(rows) and whole.fullmatch(roles):
+            break
+        if (at, roles[-1:]) in done:
+            continue
+        done.add((at, roles[-1:]))
+        ways = [("I", 5, at, x, (r, "")) for r, x in (("user", "u"), ("assistant", "a"))]
+        if at < len(rows):
+            _, role, text = rows[at]
+            more = 5 * (faults[at] == "truncated")
+            ways.append(("D", 2, at + 1, "", None))
+            if faults[at] not in ("blank", "duplicate"):
+                ways.append(("K", more, at + 1, role[:1] or "?", (role, text)))
+                ways += [("R", 1 + more, at + 1, x, (r, text)) for r, x in (("user", "u"), ("assistant", "a"))]
+        for letter, c, to, x, row in ways:
+            if legal.fullmatch(roles + x):
+                heapq.heappush(heap, (cost + c, audit + letter, to, roles + x, kept + ((row,) if row else ())))
+    turns = [t for t, _, _ in rows if t is not None]
+    initials = [r[:1] for _, r, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    return (gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit), kept
+
+
+def conversations(rows):
+    out = []
+    for conv, turns in damaged(rows).items():
+        found, kept = repaired(turns)
+        out.append((conv, *found, sha("\n".join(f"{r}:{t}" for r, t in kept))))
+    return out

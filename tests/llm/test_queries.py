@@ -29,6 +29,7 @@ WANTED = {
     "op7_decontamination": lambda: brute.decontamination(rows(DOCS), rows(ITEMS)),
     "op9_word_bpe": lambda: [(d, *brute.word_bpe(t)) for d, t in rows(DOCS)],
     "op11_alignment": lambda: brute.alignment(rows(DOCS)),
+    "op13_conversations": lambda: brute.conversations(rows("SELECT conv_id, turn, role, text FROM conversations")),
 }
 
 
