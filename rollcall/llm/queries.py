@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.checks import CHECKS  # noqa: F401
 from rollcall.llm import (
-    alignment, conversations, decontaminate, language, licenses, quality, secret_scan, simhash, token_files, url_lists, warc, word_bpe,
+    alignment, conversations, decontaminate, edit_prints, language, licenses, quality, secret_scan, simhash, token_files, url_lists, warc, word_bpe,
 )
 from rollcall.operators.small_tables import shared_folder
 
@@ -137,11 +137,15 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("groups", "groups_sha256")
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_prints.fingerprints(table(spark, sf_dir, "documents")).drop("text_sha256")
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_licenses, op3_token_files, op4_simhash, op5_warc, op6_secrets, op7_decontamination, op8_url_filters,
-    op9_word_bpe, op10_language, op11_alignment, op13_conversations,
+    op9_word_bpe, op10_language, op11_alignment, op12_fingerprints, op13_conversations,
 )}

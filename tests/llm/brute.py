@@ -249,3 +249,77 @@ def conversations(rows):
         found, kept = repaired(turns)
         out.append((conv, *found, sha("\n".join(f"{r}:{t}" for r, t in kept))))
     return out
+
+
+def mix64(x):
+    x = (x + 0x9E3779B97F4A7C15) % 2**64
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+    return x ^ x >> 31
+
+
+def random64(stream, number):
+    return mix64(mix64(20_240_101 + stream) ^ number)
+
+
+def edit_print(text):
+    """128 hex digits: two walks of the text, character by character, 64 steps of each read."""
+    signs = [mix64(ord(c)) | 1 for c in text] + [0] * 4
+    steps, out = 2 * len(text), []
+    for slot in range(128):
+        if not text:
+            return "0" * 128
+        step = at = k = 0
+        while True:  # as a reservoir of one place takes a later step instead
+            u = (random64(1000 + slot, k) >> 11) / 2**53
+            at, k = max(at + 1, int((at + 1) / max(u, 1e-12))), k + 1
+            if at >= steps:
+                break
+            step = at
+        here = 0
+        for j in range(step):
+            here += signs[here] * (random64(slot // 64, j) | 1) % 2**64 >> 63
+        h = random64(5000, step * 128 + slot)
+        for g in range(4):
+            h = mix64(h ^ signs[here + g])
+        out.append(f"{h >> 60:x}")
+    return "".join(out)
+
+
+def print_likeness(a, b):
+    return max(sum(x == y for x, y in zip(a, b)) / 128 - 1 / 16, 0) / (15 / 16)
+
+
+def edit_prints(rows):
+    """rows: (doc_id, text) without equal ids; the columns of the query."""
+    rows = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is not None, r[0] or 0))
+    out = []
+    for (doc, text), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        half = len(text) // 2
+        new = text[: len(text) - half] + after[:half]
+        prints = [edit_print(t) for t in (text, new, after)]
+        out.append((doc, len(text), sha(new), prints[0], prints[1], print_likeness(prints[0], prints[1]), print_likeness(prints[0], prints[2])))
+    return out
+
+
+def near_by_prints(rows, least, places):
+    """rows: (doc_id, text, fingerprint); class and number of links by comparing all pairs that share a band, ``places`` being the bands."""
+    prints = {t: f for _, t, f in rows}
+    texts, linked = list(prints), {t: set() for t in prints}
+    for i, a in enumerate(texts):
+        for b in texts[:i]:
+            x, y = prints[a], prints[b]
+            if any(all(x[p] == y[p] for p in band) for band in places) and print_likeness(x, y) >= least:
+                linked[a].add(b)
+                linked[b].add(a)
+    ids, out = {}, []
+    for d, t, _ in rows:
+        ids.setdefault(t, []).append(d)
+    for d, t, _ in rows:
+        reached, open_ = {t}, [t]
+        while open_:
+            for u in linked[open_.pop()] - reached:
+                reached.add(u)
+                open_.append(u)
+        out.append((d, min((i for u in reached for i in ids[u] if i is not None), default=None), len(linked[t])))
+    return out

@@ -54,6 +54,22 @@ def test_language_on_held_out_rows(spark):
     assert sum(lang[r.doc_id] == r.lang_pred for r in held) >= 0.97 * len(held)
 
 
+def test_fingerprints_of_all_documents(spark):
+    """Every text walked as a whole; the slow walk of the brute-force version is run on the shorter ones."""
+    docs = sorted((d, t or "") for d, t in rows(DOCS))
+    got = {r.doc_id: r for r in QUERIES["op12_fingerprints"](spark, SF_DIR).collect()}
+    assert sorted(got) == [d for d, _ in docs]
+    for (d, text), (after, following) in zip(docs, docs[1:] + docs[:1]):
+        r, half = got[d], len(text) // 2
+        new = text[: len(text) - half] + following[:half]
+        assert (r.n_chars, r.edited_sha256) == (len(text), brute.sha(new))
+        assert r.near_edited == pytest.approx(brute.print_likeness(r.fingerprint, r.edited_fingerprint))
+        assert r.near_next == pytest.approx(brute.print_likeness(r.fingerprint, got[after].fingerprint))
+        if len(text) < 250:
+            assert (r.fingerprint, r.edited_fingerprint) == (brute.edit_print(text), brute.edit_print(new))
+    assert sum(r.near_edited > r.near_next for r in got.values() if r.n_chars > 20) >= 0.95 * sum(r.n_chars > 20 for r in got.values())
+
+
 def test_driver_entry_registers_all(spark):
     import __spark_entry__ as driver
 
