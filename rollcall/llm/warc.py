@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollcall.operators.small_tables import join_known, materialise
+
 MIN_BYTES = 0
 END = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -32,9 +34,8 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def base32_sha1(payload: Column) -> Column:
-    """Bare upper-case base32 of the SHA-1, twenty bits at a time."""
-    digits = F.sha1(payload)
+def base32(digits: Column) -> Column:
+    """Bare upper-case base32 of forty hex digits, twenty bits at a time."""
     letters = []
     for i in range(8):
         bits = F.conv(F.substring(digits, 5 * i + 1, 5), 16, 10).cast("int")
@@ -59,15 +60,20 @@ def _page_of(record_id: str) -> int | None:
 
 
 def _headers(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
+    """Page, size and SHA-1 in hex of every payload. No column but the page is null, so that no filter hashes payloads again."""
     html = F.coalesce(F.col(html_col), F.lit(""))
-    return pages.select(F.col(id_col).cast("long").alias("page"), F.octet_length(html).cast("long").alias("size"), base32_sha1(html).alias("digest"))
+    return pages.select(F.col(id_col).cast("long").alias("page"), F.octet_length(html).cast("long").alias("size"), F.sha1(html).alias("digest"))
 
 
 def revisits(headers: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """``page``, ``digest`` and ``original`` of the headers whose payload another page has first."""
+    """``page``, ``digest`` and ``original`` of the headers whose payload another page has first.
+
+    ``headers`` is a written table, as it is read twice. Originals are broadcast where they
+    are measured small, else joined by salted digests, so that no task gets all headers of one.
+    """
     large = headers.filter(F.col("size") >= min_bytes)
     first = large.groupBy("digest").agg(F.min("page").alias("original"), F.count("*").alias("n")).filter("n > 1 AND original IS NOT NULL")
-    again = large.join(first.select("digest", "original"), "digest").filter("page IS NULL OR page != original")
+    again = join_known(large, materialise(first.select("digest", "original")), "digest", "page").filter("page IS NULL OR page != original")
     return again.select("page", "digest", "original").distinct()
 
 
@@ -75,11 +81,11 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
                    min_bytes: int = MIN_BYTES, date: str = "1970-01-01T00:00:00Z") -> None:
     """Write one record per row: its response, or a revisit of an equal payload."""
     html = F.coalesce(F.col(html_col), F.lit(""))
-    known = revisits(_headers(pages, id_col, html_col), min_bytes).select(
+    known = revisits(materialise(_headers(pages, id_col, html_col)), min_bytes).select(
         F.col("page").alias("_page"), F.col("digest").alias("_digest"), "original")
     rows = pages.select(
         F.col(id_col).cast("long").alias("page"), F.col(url_col).cast("string").alias("url"), html.alias("html"),
-        F.octet_length(html).alias("size"), base32_sha1(html).alias("digest"))
+        F.octet_length(html).alias("size"), F.sha1(html).alias("digest"))
     rows = rows.join(known, F.col("page").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest")), "left")
     again = F.col("original").isNotNull()
     address = F.coalesce(F.replace(F.replace("url", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A")),
@@ -89,7 +95,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     header = F.concat(
         F.lit(f"WARC/1.1{END}WARC-Type: "), F.when(again, "revisit").otherwise("response"), F.lit(END),
         line("WARC-Record-ID", _record_id(F.col("page"))), line("WARC-Date", F.lit(date)), line("WARC-Target-URI", address),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "digest")),
+        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32(F.col("digest")))),
         F.when(again, F.concat(line("WARC-Refers-To", _record_id(F.col("original"))), line("WARC-Profile", F.lit(PROFILE)))).otherwise(""),
         line("Content-Type", F.lit("application/http; msgtype=response")))
     block = F.when(again, http).otherwise(F.concat(http, "html"))

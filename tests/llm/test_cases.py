@@ -373,3 +373,13 @@ def test_path_is_the_cheapest():
         value = lambda p: sum(float(scores[i, x]) for i, x in enumerate(p)) - 3.0 * sum(a != b for a, b in zip(p, p[1:]))
         path = labeller.path(scores)
         assert value([path] * 6 if isinstance(path, int) else path) == pytest.approx(max(map(value, product(range(3), repeat=6))))
+
+
+def test_warc_hashes_each_payload_once_per_scan(spark, tmp_path):
+    """No filter holds a hash, and the headers are read from a written table."""
+    pages = spark.createDataFrame([(1, "u", "a"), (2, "u", "a")], "page_id long, url string, html string")
+    pages.write.parquet(f"{tmp_path}/pages")
+    headers = warc._headers(spark.read.parquet(f"{tmp_path}/pages"), "page_id", "html")
+    plan = headers.join(headers.groupBy("digest").count(), "digest")._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "sha1" in line]
+    assert plan.count("sha1(") == 2
