@@ -23,7 +23,7 @@ an empty table gives no chunks. Other columns are not read.
 """
 
 import re
-import struct
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -72,20 +72,24 @@ class Encoder:
             return b""
         if max(piece) > LATIN:
             return self._whole(piece)
-        return b"".join(map(self._token, self.find(piece)))
-
-    def _token(self, token: str) -> bytes:
-        ids = self.tokens.get(token)
-        if ids is None:
-            if len(self.tokens) > REMEMBERED:
-                self.tokens.clear()
-            if token.isascii() and token.isprintable():  # such bytes stand for themselves, but for the space
-                mapped = token.replace(" ", self.letters[32])
-            else:
-                mapped = token.encode().decode("latin-1").translate(self.letters)
-            found = [t.id for t in self.model.tokenize(mapped)]
-            ids = self.tokens[token] = struct.pack(f"<{len(found)}I", *found)
-        return ids
+        return b"".join(self._tokens(self.find(piece)))
+
+    def _tokens(self, tokens: list[str]) -> list[bytes]:
+        """Ids of pre-tokens; those not remembered are written in byte letters all at once."""
+        found = list(map(self.tokens.get, tokens))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        if not new:
+            return found
+        if len(self.tokens) + len(new) > REMEMBERED:
+            self.tokens.clear()
+        words = [tokens[k] for k in new]
+        data = [w.encode() for w in words]
+        letters = b"".join(data).decode("latin-1").translate(self.letters)
+        merged, at = self.model.tokenize, 0
+        for k, word, n in zip(new, words, map(len, data)):
+            found[k] = self.tokens[word] = array("I", [t.id for t in merged(letters[at : at + n])]).tobytes()
+            at += n
+        return found
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text; the distinct pieces of all of them are encoded once."""
@@ -123,6 +127,23 @@ class Encoder:
             out[k] = self._whole(texts[k].as_py())
         return out
 
+    def encode_spaced(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces with a space put before each, one after another, and how many each has."""
+        units = pa.array(pieces, pa.string())
+        found = self._units(units) if pieces else None
+        alone = range(len(pieces)) if found is None else np.flatnonzero(found[2]).tolist()
+        own = [self.encode_piece(" " + pieces[k]) for k in alone]
+        counts = np.array([len(o) // 4 for o in own], dtype=np.int64)
+        ids = np.frombuffer(b"".join(own), dtype="<u4")
+        if found is None:
+            return ids, counts
+        sizes = found[1].copy()
+        sizes[alone] = counts
+        # The pieces that were encoded together, then those encoded alone, then all in order.
+        together = np.flatnonzero(~found[2])
+        stored = np.concatenate([together, np.array(alone, dtype=np.int64)])
+        return gather(np.concatenate([found[0], ids]), sizes[stored], np.argsort(stored)), sizes
+
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
@@ -140,7 +161,7 @@ class Encoder:
         if len(begins) != len(plain):
             return None
         coded = tokens.dictionary_encode()
-        known = [self._token(t) for t in coded.dictionary.to_pylist()]
+        known = self._tokens(coded.dictionary.to_pylist())
         token_sizes = np.array([len(k) // 4 for k in known], dtype=np.int64)
         at = coded.indices.to_numpy().astype(np.int64)
         plain_ids = gather(np.frombuffer(b"".join(known), dtype="<u4"), token_sizes, at)
