@@ -30,6 +30,7 @@ texts take memory in proportion to their own length.
 
 import hashlib
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +41,8 @@ from pyspark.sql import functions as F
 from rollcall.llm.token_files import Encoder, gather
 from rollcall.operators.small_tables import materialise
 
-BATCH_CHARS = 16_000_000
-SLICE_CHARS = 2_000_000
-REMEMBERED = 150_000
+BATCH_CHARS = 8_000_000
+SLICE_CHARS = 1_000_000
 _JOINT = re.compile(r"(?<=\S) (?=\S)")
 BATCHES = ("key long, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, groups array<string>, "
            "pairs array<long>, counts array<long>, links array<int>")
@@ -100,7 +100,7 @@ class TwoTokenizers:
             for i, p in enumerate(pieces)]
         self.apart = not any(re.search("[^▁]▁", p) for p in pieces)
         self.a_sizes, self.b_sizes = (np.array([len(t) for t in table], dtype=np.int64) for table in (self.a_bytes, self.b_bytes))
-        self.known: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.a_table, self.b_table = (pa.array(t, pa.large_binary()) for t in (self.a_bytes, self.b_bytes))
         # Every id of A and of B as text with each sign that may stand behind it.
         signs = [[f"{i}{s}" for i in range(len(t))] for t, over in ((self.a_bytes, ",|"), (self.b_bytes, (",", ";", ""))) for s in over]
         self.written = pa.array([x for part in signs for x in part], pa.large_string())
@@ -108,40 +108,31 @@ class TwoTokenizers:
     def units(self, text: str) -> list[str]:
         return _JOINT.split(text) if self.apart else [text]
 
-    def encode(self, units: list[str]) -> list[tuple[bytes, bytes, bool]]:
-        """Ids by A of a space and the unit, by B of the unit, and whether both give back these bytes."""
-        known = self.known
-        fresh = [u for u in units if u not in known]
-        if len(known) + len(fresh) > REMEMBERED:
-            known.clear()
-            fresh = units
-        out = {}
-        for u, b in zip(fresh, self.b.encode(fresh, num_threads=1) if fresh else []):
-            a, whole = self.a.encode_piece(" " + u), (" " + u).encode()
-            fits = b"".join(map(self.b_bytes.__getitem__, b)) == whole
-            fits = fits and b"".join(map(self.a_bytes.__getitem__, np.frombuffer(a, "<u4").tolist())) == whole
-            out[u] = a, np.array(b, dtype="<u4").tobytes(), fits
-        found = [out[u] if u in out else known[u] for u in units]
-        if len(known) + len(out) <= REMEMBERED:
-            known |= out
-        return found
+    def encode(self, units: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+        """Ids and their numbers by A of a space and each unit and by B of each unit, and which units both give back."""
+        found = self.b.encode(units, num_threads=1) if units else []
+        counts = np.array([len(f) for f in found], dtype=np.int64)
+        sides = [self.a.encode_spaced(units), (np.fromiter(chain.from_iterable(found), "<u4", count=int(counts.sum())), counts)]
+        whole = [(" " + u).encode() for u in units]
+        lengths = np.array([len(w) for w in whole], dtype=np.int64)
+        joined, fits = b"".join(whole), np.ones(len(units), dtype=bool)
+        for (ids, counts), table, sizes in zip(sides, (self.a_table, self.b_table), (self.a_sizes, self.b_sizes)):
+            made = bytes(table.take(pa.array(ids.astype(np.int64))).buffers()[2] or b"")
+            upto = np.concatenate([[0], np.cumsum(sizes[ids])])[np.concatenate([[0], np.cumsum(counts)])]
+            if not np.array_equal(np.diff(upto), lengths) or made != joined:
+                fits &= np.array([made[x:y] == w for x, y, w in zip(upto, upto[1:], whole)], dtype=bool)
+        return sides, fits
 
     def gives_back(self, text: str, a: np.ndarray, b: np.ndarray) -> bool:
         whole = (" " + text).encode()
         return all(b"".join(map(t.__getitem__, ids.tolist())) == whole for t, ids in ((self.a_bytes, a), (self.b_bytes, b)))
 
 
-def _sizes(parts: list[bytes]) -> np.ndarray:
-    return np.array([len(p) // 4 for p in parts], dtype=np.int64)
-
-
 def _tokens(both: TwoTokenizers, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Ids by A and by B of all texts, one after another, and how many each text has."""
     number: dict[str, int] = {}
     of_text = [np.array([number.setdefault(u, len(number)) for u in both.units(t)] if t else [], dtype=np.int64) for t in texts]
-    coded = both.encode(list(number))
-    fits = np.array([f for _, _, f in coded], dtype=bool)
-    sides = [(np.frombuffer(b"".join(c[k] for c in coded), "<u4"), _sizes([c[k] for c in coded])) for k in (0, 1)]
+    sides, fits = both.encode(list(number))
     for k, units in enumerate(of_text):
         if not fits[units].all() and not both.gives_back(texts[k], *(gather(ids, sizes, units) for ids, sizes in sides)):
             of_text[k] = units[:0]
