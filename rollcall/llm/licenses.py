@@ -3,18 +3,19 @@
 One Aho-Corasick automaton, built per task from the phrase table, runs over the words of
 a text (lower-cased, separated by single blanks), so a phrase is found whatever
 punctuation or line breaks stand between its words, and the scan is linear in the text.
-A second one finds identifier tags in the text itself. What follows a tag, to the end of
-its line, is a licence expression: a shunting-yard parser turns ``AND``, ``OR``, ``WITH``
-and parentheses into postfix form (``WITH`` binds tightest, then ``AND``), which is
-evaluated to the licences named and to whether the expression can be met by permissive
-licences alone.
+A second one finds identifier tags in the text itself. What follows a tag, to the next tag
+or the end of its line, is a licence expression, so every character is read once: a
+shunting-yard parser turns ``AND``, ``OR``, ``WITH`` and parentheses into postfix form
+(``WITH`` binds tightest, then ``AND``), which is evaluated to the licences named and to
+whether the expression can be met by permissive licences alone. Identifiers are compared
+whole; a version, ``-only``, ``-or-later`` and ``+`` may follow a name.
 
 ``score`` is the strength of the evidence: 1 for a tag with a valid expression, 0.9 for
 a notice phrase, 0.6 for a tag whose expression is not valid, 0 for nothing.
 
 Defined cases: null and empty texts have no words and no labels; overlapping places all
-count; an expression that cannot be parsed gives the known licences in it and is marked
-invalid; repeated rows and extra columns make no difference; an empty table gives an
+count; an expression that cannot be parsed gives the licences of its longest beginning that
+can, and counts as invalid, so prose behind a tag gives no label; repeated rows and extra columns make no difference; an empty table gives an
 empty result.
 """
 
@@ -55,16 +56,17 @@ MORE_PHRASES = {
     "redistribution and use in source and binary forms": "bsd",
 }
 TAGS = ("spdx-license-identifier:", "license-expression:")
-# Identifiers of expressions, as prefixes of the lower-cased identifier, and their labels.
+# Names of lower-cased identifiers, with the version where it matters, and their labels.
 IDENTIFIERS = {
     "mit": "mit", "apache-2": "apache-2", "gpl-2": "gpl-2", "gpl-3": "gpl-3", "lgpl": "lgpl", "agpl": "agpl",
     "mpl": "mpl", "epl": "epl", "bsl": "bsl", "bsd-2-clause": "bsd-2-clause", "bsd-3-clause": "bsd-3-clause",
     "isc": "isc", "unlicense": "unlicense", "cc0": "cc0", "cc-by-nc": "cc-by-nc", "cc-by-sa": "cc-by-sa",
-    "cc-by-nd": "cc-by-nd", "cc-by": "cc-by", "zlib": "zlib",
+    "cc-by-nc-sa": "cc-by-nc", "cc-by-nc-nd": "cc-by-nc", "cc-by-nd": "cc-by-nd", "cc-by": "cc-by", "zlib": "zlib",
 }
 PERMISSIVE = {"mit", "apache-2", "bsl", "bsd", "bsd-2-clause", "bsd-3-clause", "isc", "unlicense", "cc0", "cc-by", "zlib"}
 
 _TOKEN = re.compile(r"\(|\)|[A-Za-z0-9.+:-]+")
+_IDENTIFIER = re.compile(r"(.+?)(?:-v?([0-9]+)(?:\.[0-9]+)*)?(?:-only|-or-later|\+)?")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
 
@@ -107,9 +109,28 @@ def to_postfix(expression: str) -> list[str]:
 
 
 def label_of(identifier: str) -> str | None:
-    """The label of the longest identifier that begins this one."""
-    found = [k for k in IDENTIFIERS if identifier.startswith(k)]
-    return IDENTIFIERS[max(found, key=len)] if found else None
+    """The label of an identifier: of its name and first version number, or of its name alone."""
+    name, version = _IDENTIFIER.fullmatch(identifier.rstrip(".:") or identifier).groups()
+    return IDENTIFIERS.get(f"{name}-{version}") or IDENTIFIERS.get(name)
+
+
+def longest_valid(expression: str) -> str:
+    """The longest beginning that is an expression; empty if none is."""
+    end = after = depth = 0
+    operand = False
+    for token in _TOKEN.finditer(expression):
+        low = token[0].lower()
+        strange = expression[after : token.start()].strip()
+        if strange or operand == (low == "(" or low not in _BINDS and low != ")"):
+            break
+        after = token.end()
+        depth += (low == "(") - (low == ")")
+        operand = low not in _BINDS and low != "("
+        if depth < 0:
+            break
+        if operand and not depth:
+            end = after
+    return expression[:end]
 
 
 def evaluate(postfix: list[str]) -> tuple[set[str], bool]:
@@ -162,14 +183,17 @@ class Scanner:
                 last = place if last is None else max(last, place)
         expressions, score, permissive = [], 0.9 if base or more else 0.0, None
         low = (text or "").translate(_LOWER)
-        for end, _ in self.tags.iter(low):
-            rest = low[end + 1 : _end_of_line(low, end)].strip().rstrip("*/->").strip()
+        tags = [(end + 1 - len(tag), end + 1) for end, tag in self.tags.iter(low)]
+        for (_, begin), (stop, _) in zip(tags, [*tags[1:], (len(low), 0)]):
+            line = low.find("\n", begin, stop)
+            rest = low[begin : stop if line < 0 else line].strip().rstrip("*/->").strip()
             try:
                 named, ok = evaluate(to_postfix(rest))
                 permissive = ok if permissive is None else permissive and ok
                 score = 1.0
             except ValueError:
-                named = {label_of(t) for t in _TOKEN.findall(rest)} - {None}
+                valid = longest_valid(rest)
+                named = evaluate(to_postfix(valid))[0] if valid else set()
                 score = max(score, 0.6)
             more |= named
             expressions.append(rest)
@@ -182,11 +206,6 @@ class Scanner:
 _LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
 
 
-def _end_of_line(text: str, at: int) -> int:
-    end = text.find("\n", at)
-    return len(text) if end < 0 else end
-
-
 FOUND = pa.schema([
     ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()),
     ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64()), ("permissive", pa.bool_()), ("expressions", pa.list_(pa.string())),
