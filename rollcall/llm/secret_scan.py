@@ -54,7 +54,7 @@ RULES = (
     Rule("hex", "[0-9a-f]{32,}", 0, 32, base=True),  # a maximal run, as of [0-9a-f]+
     Rule("github", "gh[opsur]_[A-Za-z0-9]{36,}"),
     Rule("google", "AIza[A-Za-z0-9_-]{35}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]++"),
     Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("slack", "xox[abeoprs]-[A-Za-z0-9-]{10,}"),
 )
