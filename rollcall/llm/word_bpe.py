@@ -4,7 +4,8 @@
    of documents (at most ``BATCH_CHARS`` of text, or one longer document) in order of
    appearance. A document becomes the positions of its pre-tokens: a list of numbers.
 2. The words of each batch are dealt to buckets by their hash. A bucket receives its
-   words from all batches and encodes each distinct one once, by the merge ranks.
+   words from all batches and encodes each distinct one once, by the merge ranks; beyond
+   ``REMEMBERED`` words it forgets what it had, so that its memory is bounded.
 3. The ids return to their batches, which are joined by key with the positions, and the
    documents are put together again in order.
 
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 
 BATCH_CHARS = 24_000_000
 _SPLIT_CACHE = 200_000
+REMEMBERED = 400_000
 PARTS = "key binary, bucket int, words array<string>, docs array<long>, sizes binary, order binary, positions binary"
 NAMES = ["key", "bucket", "words", "docs", "sizes", "order", "positions"]
 TYPES = [pa.binary(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
@@ -171,6 +173,8 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id",
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1)
                 own = row.column(2)[0].as_py()
+                if len(known) > REMEMBERED:  # the words of one batch more, whatever the bucket holds
+                    known.clear()
                 for w in own:
                     if w not in known:
                         known[w] = np.array(encoding.encode_ordinary(w), dtype="<u4").tobytes()
