@@ -1,11 +1,12 @@
 """Language of texts, and of spans in mixed texts.
 
 Training counts letter trigrams per language over labelled rows, as a Spark aggregation.
-It uses at most about ``SAMPLE`` rows per language, chosen by a hash of the text, and
-keeps the ``TOP`` most frequent trigrams of each language, so the model is small and is
-sent to the tasks as it is.
+It uses about ``SAMPLE`` distinct texts per language, chosen by a hash of the text, or all
+if there are fewer, each once however many copies there are. All their trigrams are kept;
+that sample is what bounds the model, which is sent to the tasks as it is.
 
-A text is cut at white space. The scripts of a word's letters narrow the candidates to
+A text is cut at white space. A word longer than ``LONGEST``, as of scripts that write no
+blanks, is walked in parts of that length, but its trigrams are those of the whole word. The scripts of a word's letters narrow the candidates to
 the languages that use them; a word scores each candidate by its trigrams, within
 ``CLIP`` of the best. Viterbi's algorithm then labels the words: staying in a language is
 free, switching costs ``SWITCH``. Where no stretch of words speaks for another language
@@ -29,18 +30,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SAMPLE = 5_000
-TOP = 20_000
 SWITCH = 12.0
 CLIP = 6.0
 FAR = 30.0
 SCRIPT_SHARE = 0.01
 REMEMBERED = 300_000
 LONGEST = 48
+LEAST_SPOKEN = 0.5
 UNKNOWN = "und"
+_PART = "\n"  # begins parts of long words; no word holds it
 
 # First code point of each script's main ranges; None ends a range.
 SCRIPT_STARTS = [
@@ -63,7 +64,9 @@ def script_of(letter: str) -> str | None:
 
 
 def letters_of(word: str) -> str:
-    """The word's letters in lower case, other characters as single blanks, blanks around."""
+    """The word's letters in lower case, other characters as single blanks, blanks around; a part of a word as it is."""
+    if word.startswith(_PART):
+        return word[1:]
     low = word.lower()
     if low.isalpha():
         return f" {low} "
@@ -72,18 +75,27 @@ def letters_of(word: str) -> str:
     return f" {' '.join(''.join(c if c.isalpha() else ' ' for c in low).split())} "
 
 
+def n_letters(letters: str) -> int:
+    """Letters in the middle of a trigram: those of a word, or of a part without its neighbours' overlap."""
+    return len(letters) - 2 - letters.count(" ", 1, len(letters) - 1)
+
+
 def grams_of(letters: str) -> list[str]:
     return [letters[i : i + 3] for i in range(len(letters) - 2)]
 
 
 def pieces_of(text: str) -> list[str]:
-    """Words between white space; longer ones than ``LONGEST`` in parts of that length."""
+    """Words between white space; longer ones than ``LONGEST`` as marked parts that begin ``LONGEST`` trigrams each."""
     words = text.split()
     if len(text) > LONGEST and any(len(w) > LONGEST for w in words):
-        words = [w[i : i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
+        return [p for w in words for p in ([w] if len(w) <= LONGEST else _parts(letters_of(w)))]
     return words
 
 
+def _parts(letters: str) -> list[str]:
+    return [_PART + letters[i : i + LONGEST + 2] for i in range(0, max(1, len(letters) - 2), LONGEST)]
+
+
 @dataclass
 class Model:
     """What was learned: ``weights`` has a row per trigram and a last one for unseen ones."""
@@ -109,22 +121,24 @@ def _grams(words: dict[str, Counter]) -> Counter:
             for gram in grams_of(letters):
                 grams[lang, gram] += n
             if max(letters) < "\u02b0":
-                grams[lang, "script Latin"] += n * (len(letters) - letters.count(" "))
+                grams[lang, "script Latin"] += n * n_letters(letters)
             else:
-                for script in filter(None, map(script_of, letters)):
+                for script in filter(None, map(script_of, letters[1:-1])):
                     grams[lang, "script " + script] += n
     return grams
 
 
-def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, top: int = TOP) -> Model:
+def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
     """Learn from rows with a text and a language."""
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row per language
+    rows = rows.withColumn("place", F.xxhash64("text"))
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang", "place").count().groupBy("lang").count().collect()}  # a row per language
     if not counts:
         return Model([], {}, np.zeros((1, 0), np.float32), {})
-    # About `sample` rows of each language, whole texts, by a hash of the text.
+    # About `sample` distinct texts of each language, whole, by a hash of the text; all of few.
     share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, sample / n))])
-    chosen = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000)
+    drawn = rows.filter(F.pmod("place", F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000)
+    chosen = drawn.groupBy("lang", "place").agg(F.min("text").alias("text")).select("text", "lang")
 
     def count(batches):
         words: dict[str, Counter] = {}
@@ -143,8 +157,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
         )
 
     sums = chosen.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    best = W.partitionBy("lang", F.col("gram").startswith("script ")).orderBy(F.desc("n"), "gram")
-    kept = sums.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top).collect()  # `top` rows per language
+    kept = sums.collect()  # bounded by the sample
     languages = sorted(counts)
     column = {lang: i for i, lang in enumerate(languages)}
     grams = sorted({r.gram for r in kept if not r.gram.startswith("script ")})
@@ -175,6 +188,7 @@ class Labeller:
         self.rows: dict[str, int] = {"  ": 0}
         self.scores = np.zeros((1, len(self.model.languages)), dtype=np.float32)
         self.letters = np.zeros(1, dtype=np.int64)
+        self.spoken = np.zeros(1, dtype=bool)
 
     def _candidates(self, letters: str) -> np.ndarray | None:
         """Languages that use the script of most letters."""
@@ -182,8 +196,8 @@ class Labeller:
         main = min(scripts, key=lambda s: (-scripts[s], s)) if scripts else None
         return self.model.scripts.get(main)
 
-    def _score(self, words: list[str]) -> np.ndarray:
-        """A row for each word's letters: its trigrams' weights, narrowed to the candidates."""
+    def _score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A row for each word's letters: its trigrams' weights, narrowed to the candidates; and whether it has any."""
         rows, unseen = self.model.rows.get, len(self.model.rows)
         flat = [rows(w[i : i + 3], unseen) for w in words for i in range(len(w) - 2)]
         starts = np.cumsum([0, *[len(w) - 2 for w in words[:-1]]])
@@ -198,7 +212,7 @@ class Labeller:
         best[~np.isfinite(best)] = 0
         scores = np.where(may, np.maximum(totals - best, -CLIP), -FAR)
         scores[~may.any(1)] = 0
-        return scores.astype(np.float32)
+        return scores.astype(np.float32), may.any(1)
 
     def learn(self, words: set[str]) -> None:
         if len(self.known) + len(words) > REMEMBERED:
@@ -208,8 +222,10 @@ class Labeller:
         letters = [letters_of(w) for w in new]
         if unmet := list({x for x in letters if x not in self.rows}):
             self.rows.update(zip(unmet, range(len(self.rows), len(self.rows) + len(unmet))))
-            self.scores = np.concatenate([self.scores, self._score(unmet)])
-            self.letters = np.concatenate([self.letters, [len(x) - x.count(" ") for x in unmet]])
+            scores, spoken = self._score(unmet)
+            self.scores = np.concatenate([self.scores, scores])
+            self.letters = np.concatenate([self.letters, [n_letters(x) for x in unmet]])
+            self.spoken = np.concatenate([self.spoken, spoken])
         self.known.update(zip(new, map(self.rows.__getitem__, letters)))
 
     def path(self, scores: np.ndarray) -> np.ndarray | int:
@@ -234,6 +250,12 @@ class Labeller:
             out.append(at)
         return np.array(out[::-1])
 
+    def spoken_share(self, words: list[str]) -> float:
+        """Share of the letters in words whose main script a learned language uses."""
+        at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words)) if self.model.languages else np.zeros(0, np.int64)
+        letters = self.letters[at]
+        return float(letters[self.spoken[at]].sum() / letters.sum()) if letters.any() else 0.0
+
     def label(self, text: str | None, words: list[str]) -> tuple[str, float, list[tuple[str, int, int]]]:
         """Language, score, and spans (language, first word, end) of a text."""
         languages = self.model.languages
@@ -259,12 +281,13 @@ class Labeller:
 
 
 def _labelled(texts: list, labeller: Labeller, slice_rows: int = 1000):
+    """Each text's label, and its words."""
     for at in range(0, len(texts), slice_rows):
         some = texts[at : at + slice_rows]
         words = [pieces_of(t or "") for t in some]
         labeller.learn(set().union(*words))
         for t, w in zip(some, words):
-            yield labeller.label(t, w)
+            yield labeller.label(t, w), w
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", switch: float = SWITCH) -> DataFrame:
@@ -275,7 +298,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     def label(batches):
         labeller = Labeller(Model(*sent.value), switch)
         for batch in batches:
-            found = list(_labelled(batch.column(1).to_pylist(), labeller))
+            found = [f for f, _ in _labelled(batch.column(1).to_pylist(), labeller)]
             spans = [[{"lang": a, "start": b, "end": c} for a, b, c in f[2]] for f in found]
             yield pa.record_batch(
                 [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array(spans, pa.list_(span))],
@@ -286,8 +309,13 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(label, schema)
 
 
-def keep_languages(docs: DataFrame, model: Model, wanted: list[str] | None = None, text_col: str = "text", switch: float = SWITCH) -> DataFrame:
-    """The rows of ``docs`` in a wanted language; by default, in any learned one."""
+def keep_languages(docs: DataFrame, model: Model, wanted: list[str] | None = None, text_col: str = "text", switch: float = SWITCH,
+                   least_spoken: float = LEAST_SPOKEN, least_score: float = 0.0) -> DataFrame:
+    """The rows of ``docs`` in a wanted language; by default, in any learned one.
+
+    A text must also have ``least_spoken`` of its letters in words of a script that a learned
+    language uses, and a score of ``least_score``: a text in another script is in no learned language.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model.parts())
     place = docs.columns.index(text_col)
     good = set(model.languages if wanted is None else wanted)
@@ -295,6 +323,8 @@ def keep_languages(docs: DataFrame, model: Model, wanted: list[str] | None = Non
     def keep(batches):
         labeller = Labeller(Model(*sent.value), switch)
         for batch in batches:
-            yield batch.filter(pa.array([f[0] in good for f in _labelled(batch.column(place).to_pylist(), labeller)], pa.bool_()))
+            found = _labelled(batch.column(place).to_pylist(), labeller)
+            stays = [f[0] in good and f[1] >= least_score and labeller.spoken_share(w) >= least_spoken for f, w in found]
+            yield batch.filter(pa.array(stays, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -359,7 +359,8 @@ def test_language(spark, none):
     blank = language.identify(spark.createDataFrame(rows, "doc_id long, text string"), language.train(none))
     assert {r.lang_pred for r in blank.collect()} == {"und"}
     kept = language.keep_languages(spark.createDataFrame(rows, "doc_id long, text string"), model, ["de"])
-    assert [r.doc_id for r in kept.collect()] == [4, 7]  # a script that no language uses speaks for none: the first
+    assert [r.doc_id for r in kept.collect()] == [4]  # a script that no language uses is in none
+    assert [r.doc_id for r in language.keep_languages(spark.createDataFrame(rows, "doc_id long, text string"), model, ["de"], least_spoken=0).collect()] == [4, 7]
 
 
 def test_path_is_the_cheapest():
@@ -383,3 +384,102 @@ def test_warc_hashes_each_payload_once_per_scan(spark, tmp_path):
     plan = headers.join(headers.groupBy("digest").count(), "digest")._jdf.queryExecution().optimizedPlan().toString()
     assert not [line for line in plan.splitlines() if "Filter" in line and "sha1" in line]
     assert plan.count("sha1(") == 2
+
+
+def timed(limit, work):
+    import time
+
+    began = time.process_time()
+    out = work()
+    assert time.process_time() - began < limit
+    return out
+
+
+def test_licences_of_a_long_line():
+    """A megabyte of tags on one line is read once."""
+    scanner = licenses.Scanner()
+    found = timed(5, lambda: scanner.scan("spdx-license-identifier: mit " * 36_000))
+    assert found["labels"] == "mit" and len(found["expressions"]) == 36_000 and sum(map(len, found["expressions"])) < 200_000
+    timed(5, lambda: scanner.scan("spdx-license-identifier: " + "(mit or gpl-2.0) and " * 50_000))
+    timed(5, lambda: scanner.scan("spdx-license-identifier: " + "a-1.1" * 200_000))
+
+
+def test_licence_identifiers_are_whole():
+    scanner = licenses.Scanner()
+    label = lambda t: scanner.scan(f"SPDX-License-Identifier: {t}")
+    for text, labels, score in (
+            ("MIT", "mit", 1.0), ("mitsubishi", "", 1.0), ("Apache-2.0", "apache-2", 1.0), ("Apache-1.1", "", 1.0), ("GPL-3.0-or-later", "gpl-3", 1.0),
+            ("GPL-2.0+ WITH Classpath-exception-2.0", "gpl-2", 1.0), ("LGPL-2.1-only", "lgpl", 1.0), ("CC-BY-NC-SA-4.0", "cc-by-nc", 1.0),
+            ("CC-BY-4.0", "cc-by", 1.0), ("to mitigate the risk", "", 0.6), ("the mit people", "", 0.6), ("MIT. See the file", "mit", 0.6),
+            ("(MIT OR Zlib) and then some", "mit,zlib", 0.6), ("MIT AND", "mit", 0.6), (") MIT", "", 0.6), ("...", "", 1.0), ("", "", 0.6)):
+        found = label(text)
+        assert (found["labels"], found["score"]) == (labels, score), text
+
+
+def test_secret_rules_are_linear(spark):
+    """A megabyte of beginnings without an end, for every rule."""
+    parts = ["eyJ", "eyJ-", "eyJ_", "eyJaaaaaaaa.", "password ", "password:", "token= ", "AKIA", "0123456789abcdef0123456789abcde ", "ghp_", "AIza", "-----BEGIN ", "-----BEGIN A", "xoxb-a ", "=", " "]
+    docs = spark.createDataFrame([(i, p * (1_000_000 // len(p))) for i, p in enumerate(parts)], "path long, content string")
+    import time
+
+    began = time.time()
+    secret_scan.scan_secrets(docs).count()
+    assert time.time() - began < 90
+
+
+def test_json_web_tokens(spark):
+    token = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.abc_DEF-123"
+    docs = spark.createDataFrame([(1, f"a {token} b"), (2, f"x{token}"), (3, f"{token},{token}"), (4, "eyJshort.eyJ.x")], "path long, content string")
+    got = {r.path: [(s.kind, s.start, s.end) for s in r.spans if s.kind == "jwt"] for r in secret_scan.scan_secrets(docs).collect()}
+    n = len(token)
+    assert got == {1: [("jwt", 2, 2 + n)], 2: [], 3: [("jwt", 0, n), ("jwt", n + 1, 2 * n + 1)], 4: []}
+
+
+def test_url_lists_read_keys_and_addresses_alike(spark):
+    keys = ["example.org/shop/", "other.org/", "http://third.org:8080//a//b", "u@Fourth.org", "/nothing", ""]
+    urls = ["http://example.org/shop", "http://example.org//shop/x", "http://example.org/", "http://other.org", "http://x.other.org/y", "https://third.org/a/b/c",
+            "http://third.org/a", "ftp://fourth.ORG:21/z", "http:///nothing"]
+    lists = spark.createDataFrame([("l", k, "block", "2024-01-01") for k in keys], "list string, key string, action string, since string")
+    captures = spark.createDataFrame([(i, u, "2024-02-01") for i, u in enumerate(urls)], "page_id long, url string, fetched string")
+    got = url_lists.apply_lists(captures, lists)
+    assert sorted(r.page_id for r in got.filter("blocked").collect()) == [0, 1, 3, 4, 5, 7]
+
+
+def test_url_lists_of_many_days(spark):
+    """A key with a thousand dated entries: one row per capture and list, decided by the last entry before its day."""
+    import datetime
+
+    day = lambda n: str(datetime.date(2020, 1, 1) + datetime.timedelta(n))
+    entries = [("l", "hot.org", ("block", "remove", "allow")[n % 3], day(2 * n)) for n in range(1000)]
+    lists = spark.createDataFrame(entries, "list string, key string, action string, since string")
+    captures = spark.createDataFrame([(n, f"http://hot.org/{n % 7}", day(n - 2)) for n in range(2004)], "page_id long, url string, fetched string")
+    assert url_lists.histories(lists).count() == 1
+    got = {r.page_id: r for r in url_lists.apply_lists(captures, lists).collect()}
+    for n in range(2004):
+        last = min((n - 2) // 2, 999)
+        assert (got[n].blocked, got[n].n_active) == (last >= 0 and last % 3 == 0, int(last >= 0 and last % 3 != 1))
+
+
+def test_word_bpe_forgets_words(docs, monkeypatch):
+    monkeypatch.setattr(word_bpe, "REMEMBERED", 3)
+    got = [(r.doc_id, brute.sha(bytes(r.ids))) for r in word_bpe.encode(docs, RANKS, P.PATTERN).collect()]
+    same(got, [(d, brute.word_bpe(t)[1]) for d, t in pairs(docs)])
+
+
+def test_language_learns_from_copies_and_rare_texts(spark):
+    """Copies count once, so a language of one text in many copies is learned, and does not fill the sample."""
+    rows = [("the house and the water of the people", "en")] * 3000 + [(f"der Mann und das Haus von {i}", "de") for i in range(300)]
+    model = language.train(spark.createDataFrame(rows, "text string, lang string"), sample=20)
+    assert model.languages == ["de", "en"]
+    asked = spark.createDataFrame([(1, "the people of the house"), (2, "das Haus und der Mann")], "doc_id long, text string")
+    assert [r.lang_pred for r in language.identify(asked, model).orderBy("doc_id").collect()] == ["en", "de"]
+
+
+def test_long_words_keep_their_trigrams():
+    rng = random.Random(8)
+    for n in (1, 47, 48, 49, 96, 97, 500):
+        word = "".join(rng.choices("abcdefé1中", k=n))
+        whole = language.letters_of(word)
+        parts = [language.letters_of(p) for p in language.pieces_of(f"a {word}")[1:]]
+        assert [g for p in parts for g in language.grams_of(p)] == language.grams_of(whole)
+        assert sum(map(language.n_letters, parts)) == sum(c.isalpha() for c in word)
