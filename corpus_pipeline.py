@@ -2,8 +2,9 @@
 
 ``documents`` has the columns doc_id, text, lang, source and n_chars, and perhaps more.
 
-1. ``language`` drops documents without a letter, or all if no language was learned. A text
-   whose script no learned language uses is kept under the first language.
+1. ``language`` drops documents in no learned language: those without a letter, those with
+   more than half of their letters in scripts that no learned language uses, and all if no
+   language was learned.
 2. ``near_duplicates`` keeps one document of each group of linked fingerprints.
 3. ``decontamination`` drops documents that are contaminated by benchmark items.
 4. ``secrets`` replaces every secret in a text by a mark, and counts n_chars anew there.
