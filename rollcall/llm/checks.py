@@ -53,11 +53,21 @@ SELECT page_id, strlen(h) AS payload_bytes,
 FROM p JOIN first USING (h)
 """
 
-_SPANS = " UNION ALL ".join(
-    f"""SELECT doc_id, {no} AS no, '{r.kind}' AS kind, {r.least} AS least, unnest(range(1, len(m) + 1)) AS i, g, m, v FROM (
-    SELECT doc_id, string_split_regex(t, '{p}') AS g, regexp_extract_all(t, '{p}') AS m, regexp_extract_all(t, '{p}', {r.value}) AS v FROM d)"""
-    for no, r in enumerate(RULES) for p in [r.pattern.replace("'", "''")]
-)
+# DuckDB's patterns cannot look behind, so inside a run of a token's characters "eyJ" is first
+# written over (twice, as matches do not overlap); what stands there is still of the run.
+_RUN = "[A-Za-z0-9_-]"
+_NO_INNER = f"regexp_replace(regexp_replace(t, '({_RUN})eyJ', '\\1zzz', 'g'), '({_RUN})eyJ', '\\1zzz', 'g')"
+_TOKEN = rf"eyJ{_RUN}{{8,}}\.eyJ{_RUN}{{8,}}\.{_RUN}+"
+
+
+def _matches(no: int, rule) -> str:
+    text, pattern = (_NO_INNER, _TOKEN) if rule.kind == "jwt" else ("t", rule.pattern.replace("'", "''"))
+    return f"""SELECT doc_id, {no} AS no, '{rule.kind}' AS kind, {rule.least} AS least, unnest(range(1, len(m) + 1)) AS i, g, m, v FROM (
+    SELECT doc_id, string_split_regex({text}, '{pattern}') AS g, regexp_extract_all({text}, '{pattern}') AS m,
+           regexp_extract_all({text}, '{pattern}', {rule.value}) AS v FROM d)"""
+
+
+_SPANS = " UNION ALL ".join(_matches(no, r) for no, r in enumerate(RULES))
 _JOINED = "coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, no){0}, '')"
 _BASE = " FILTER (no < 3)"
 OP6 = f"""
