@@ -30,7 +30,7 @@ texts take memory in proportion to their own length.
 
 import hashlib
 import re
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +41,10 @@ from pyspark.sql import functions as F
 from rollcall.llm.token_files import Encoder, gather
 from rollcall.operators.small_tables import materialise
 
-BATCH_CHARS = 8_000_000
-SLICE_CHARS = 1_000_000
+BATCH_CHARS = 4_000_000
+SLICE_CHARS = 500_000
+REMEMBERED = 200_000
+LISTED = 2_000_000
 _JOINT = re.compile(r"(?<=\S) (?=\S)")
 BATCHES = ("key long, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, groups array<string>, "
            "pairs array<long>, counts array<long>, links array<int>")
@@ -53,7 +55,9 @@ BATCH_NAMES = [c.split()[0] for c in BATCHES.split(", ")]
 def align_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places in ``a`` and in ``b`` of every value they share; both ascend without repeats."""
     a, b = np.ascontiguousarray(a, dtype="<i8"), np.ascontiguousarray(b, dtype="<i8")
-    a_at, b_at, a_bytes, b_bytes = memoryview(a), memoryview(b), a.tobytes(), b.tobytes()
+    a_bytes, b_bytes = a.tobytes(), b.tobytes()
+    # Single ends are read from lists, or from the arrays themselves where lists would be large.
+    a_at, b_at = (x.tolist() if len(x) <= LISTED else memoryview(x) for x in (a, b))
     i, j, n_a, n_b = 0, 0, len(a), len(b)
     starts, shifts, lengths = [], [], []
     while i < n_a and j < n_b:
@@ -65,13 +69,15 @@ def align_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             j += 1
             continue
         # On a common end: probe ahead at this shift, each time twice as far, then closer again.
-        p, q, step, room = i + 1, j + 1, 1, min(n_a - i, n_b - j) - 1
-        while step <= room and a_bytes[8 * p : 8 * (p + step)] == b_bytes[8 * q : 8 * (q + step)]:
-            p, q, room, step = p + step, q + step, room - step, 2 * step
-        while step > 1:
-            step //= 2
-            if step <= room and a_bytes[8 * p : 8 * (p + step)] == b_bytes[8 * q : 8 * (q + step)]:
-                p, q, room = p + step, q + step, room - step
+        p, q, room = i + 1, j + 1, min(n_a - i, n_b - j) - 1
+        if room and a_at[p] == b_at[q]:
+            p, q, room, step = p + 1, q + 1, room - 1, 2
+            while step <= room and a_bytes[8 * p : 8 * (p + step)] == b_bytes[8 * q : 8 * (q + step)]:
+                p, q, room, step = p + step, q + step, room - step, 2 * step
+            while step > 1:
+                step //= 2
+                if step <= room and a_bytes[8 * p : 8 * (p + step)] == b_bytes[8 * q : 8 * (q + step)]:
+                    p, q, room = p + step, q + step, room - step
         starts.append(i)
         shifts.append(j - i)
         lengths.append(p - i)
@@ -100,6 +106,7 @@ class TwoTokenizers:
             for i, p in enumerate(pieces)]
         self.apart = not any(re.search("[^▁]▁", p) for p in pieces)
         self.a_sizes, self.b_sizes = (np.array([len(t) for t in table], dtype=np.int64) for table in (self.a_bytes, self.b_bytes))
+        self.start()
         self.a_table, self.b_table = (pa.array(t, pa.large_binary()) for t in (self.a_bytes, self.b_bytes))
         # Every id of A and of B as text with each sign that may stand behind it.
         signs = [[f"{i}{s}" for i in range(len(t))] for t, over in ((self.a_bytes, ",|"), (self.b_bytes, (",", ";", ""))) for s in over]
@@ -108,6 +115,23 @@ class TwoTokenizers:
     def units(self, text: str) -> list[str]:
         return _JOINT.split(text) if self.apart else [text]
 
+    def start(self) -> None:
+        """Forget the units met so far."""
+        nothing = np.empty(0, dtype="<u4"), np.empty(0, dtype=np.int64)
+        self.number: dict[str, int] = {}
+        self.sides, self.fits = [nothing, nothing], np.empty(0, dtype=bool)
+
+    def numbered(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The units of each text by number; new ones are encoded and remembered."""
+        if len(self.number) > REMEMBERED:
+            self.start()
+        number, known = self.number, len(self.number)
+        of_text = [np.array([number.setdefault(u, len(number)) for u in self.units(t)] if t else [], dtype=np.int64) for t in texts]
+        sides, fits = self.encode(list(islice(number, known, None)))
+        self.sides = [tuple(np.concatenate(x) for x in zip(old, new)) for old, new in zip(self.sides, sides)]
+        self.fits = np.concatenate([self.fits, fits])
+        return of_text
+
     def encode(self, units: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
         """Ids and their numbers by A of a space and each unit and by B of each unit, and which units both give back."""
         found = self.b.encode(units, num_threads=1) if units else []
@@ -130,9 +154,8 @@ class TwoTokenizers:
 
 def _tokens(both: TwoTokenizers, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Ids by A and by B of all texts, one after another, and how many each text has."""
-    number: dict[str, int] = {}
-    of_text = [np.array([number.setdefault(u, len(number)) for u in both.units(t)] if t else [], dtype=np.int64) for t in texts]
-    sides, fits = both.encode(list(number))
+    of_text = both.numbered(texts)
+    sides, fits = both.sides, both.fits
     for k, units in enumerate(of_text):
         if not fits[units].all() and not both.gives_back(texts[k], *(gather(ids, sizes, units) for ids, sizes in sides)):
             of_text[k] = units[:0]
