@@ -123,13 +123,13 @@ class Consolidation:
 
 
 def consolidate_directory(
-    spark: SparkSession, source: str, out_dir: str, strict: bool = False
+    spark: SparkSession, source: str, out_dir: str, strict: bool = False, splittable: bool = False
 ) -> Consolidation:
-    """All list exports of a directory to one sorted table with its report."""
+    """All list exports of a directory to one sorted table with its report; ``splittable`` reads large files in blocks."""
     exports = list_csv.list_exports(spark, source)
     if not exports:
         raise FileNotFoundError(f"no list exports in {source}")
-    found, bad = list_csv.read_exports(spark, exports)
+    found, bad = list_csv.read_exports(spark, exports, splittable=splittable)
     rows = materialise(found)
     bad.write.options(**list_csv.CSV_WRITE).csv(f"{out_dir}/rejects")
     per_file = materialise(consolidate.file_labels(rows))

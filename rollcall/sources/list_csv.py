@@ -8,6 +8,7 @@ from rollcall import fixed_values as fv
 from rollcall.functions.csvtext import csv_fields, fields_at, places_of, present
 from rollcall.operators.consolidate import ROW_POS, SRC_FILE, SRC_RANK
 from rollcall.operators.small_tables import join_known, materialise
+from rollcall.sources.split_csv import split_records
 
 CSV_READ = {
     "header": "false", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8",
@@ -57,6 +58,12 @@ def scan_records(spark: SparkSession, paths) -> DataFrame:
     )
 
 
+def scan_split(spark: SparkSession, paths) -> DataFrame:
+    """The records of :func:`scan_records`, each file read by as many tasks as it has blocks."""
+    return split_records(spark, paths).select(
+        export_name(F.col("part")).alias(SRC_FILE), "part", "row", csv_fields(F.col("record")).alias("fields"))
+
+
 def headers(records: DataFrame) -> DataFrame:
     """``part``, ``head_row`` and ``header`` of every file in a written table of records.
 
@@ -68,9 +75,11 @@ def headers(records: DataFrame) -> DataFrame:
     return materialise(heads.select("part", "head_row", header.alias("header")))
 
 
-def read_exports(spark: SparkSession, paths, columns=ALL_COLUMNS) -> tuple[DataFrame, DataFrame]:
+def read_exports(spark: SparkSession, paths, columns=ALL_COLUMNS, splittable: bool = False) -> tuple[DataFrame, DataFrame]:
     """(rows under ``columns``, matched by header name; rejected records).
 
+    A file is read by one task, or with ``splittable`` by one for each of its blocks.
+
     Files with nothing but a header add no rows. A record with more fields than
     its file's header is set aside, with its file and its number in it (the
     header is 0), and the file's other records are kept. Fields missing at the
@@ -79,7 +88,8 @@ def read_exports(spark: SparkSession, paths, columns=ALL_COLUMNS) -> tuple[DataF
     The records are written once, and headers, rows and rejects are all read
     from that table, so that nothing depends on how a scan deals out files.
     """
-    records = materialise(scan_records(spark, paths))
+    scan = scan_split if splittable else scan_records
+    records = materialise(scan(spark, paths))
     known = headers(records).select(
         "part", "head_row", F.size("header").alias("n_header"),
         places_of(F.col("header"), columns).alias("places"),
@@ -99,9 +109,9 @@ def read_exports(spark: SparkSession, paths, columns=ALL_COLUMNS) -> tuple[DataF
     return rows, rejects
 
 
-def read_list_csv(spark: SparkSession, paths, columns=ALL_COLUMNS) -> DataFrame:
+def read_list_csv(spark: SparkSession, paths, columns=ALL_COLUMNS, splittable: bool = False) -> DataFrame:
     """The rows of :func:`read_exports`."""
-    return read_exports(spark, paths, columns)[0]
+    return read_exports(spark, paths, columns, splittable)[0]
 
 
 def list_exports(spark: SparkSession, directory: str) -> list[str]:
