@@ -37,11 +37,11 @@ from pyspark.sql import functions as F
 END_ID = 0
 BLOCK = 65_536
 CHUNK = 4 * BLOCK
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 LATIN = "\u024f"  # the last letter of the Latin blocks
 CHUNKS = ("shard int, chunk int, first long, n_ids long, planes_per_block int, doc_ids array<long>, "
           "doc_sizes array<long>, planes array<binary>")
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 4_000_000
 # White space as any of the libraries understands it.
 _BLANK_EDGE = "^$|^[{0}]|[{0}]$".format("\\s\\x0b\\x1c-\\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000")
 _JOINT = re.compile(r"(?<=\S) (?=\S)")
@@ -104,7 +104,8 @@ class Encoder:
         if found is None:
             return [self._whole(t or "") for t in texts.to_pylist()]
         ids, sizes, odd = found
-        own = [self.encode_piece(p) for p in pieces.take(pa.array(firsts)).to_pylist()]
+        heads = texts_of(pieces.take(pa.array(firsts)))
+        own = [self.encode_piece(p) for p in heads]
         # Units of all texts in order: a text's first piece, then its inner ones.
         order = np.empty(len(pieces), dtype=np.int64)
         order[inner] = coded.indices.to_numpy()
@@ -116,8 +117,7 @@ class Encoder:
         joined = np.zeros(len(out), dtype=bool)
         joined[np.repeat(np.arange(len(out)), np.diff(ends))[inner][odd[order[inner]]]] = True
         for k in np.flatnonzero(np.diff(ends) > 1):
-            text = pieces[firsts[k]].as_py()
-            joined[k] |= not text or text[-1].isspace()
+            joined[k] |= not heads[k] or heads[k][-1].isspace()
         added = np.zeros(len(out), dtype=bool)
         for content in self.added:
             added |= pc.match_substring(pc.fill_null(texts, ""), content).to_numpy(zero_copy_only=False)
@@ -156,19 +156,19 @@ class Encoder:
         wide = pc.match_substring_regex(units, f"[^\\x00-{LATIN}]").to_numpy(zero_copy_only=False) & ~odd
         plain = np.flatnonzero(~odd & ~wide)
         # No plain piece holds a blank at an edge, so in one text with spaces between they split as they do alone.
-        tokens = pa.array(self.find("".join([" " + u for u in units.take(pa.array(plain)).to_pylist()])), pa.string())
+        tokens = pa.array(self.find("".join([" " + u for u in texts_of(units.take(pa.array(plain)))])), pa.string())
         begins = np.flatnonzero(pc.starts_with(tokens, " ").to_numpy(zero_copy_only=False))
         if len(begins) != len(plain):
             return None
         coded = tokens.dictionary_encode()
-        known = self._tokens(coded.dictionary.to_pylist())
+        known = self._tokens(texts_of(coded.dictionary))
         token_sizes = np.array([len(k) // 4 for k in known], dtype=np.int64)
         at = coded.indices.to_numpy().astype(np.int64)
         plain_ids = gather(np.frombuffer(b"".join(known), dtype="<u4"), token_sizes, at)
         sizes = np.zeros(len(units) + 1, dtype=np.int64)
         sizes[plain] = np.add.reduceat(token_sizes[at], begins) if len(begins) else 0
         # Plain pieces first, then the wide ones, then put in the order of the units.
-        others = [self.encode_piece(" " + u) for u in units.take(pa.array(np.flatnonzero(wide))).to_pylist()]
+        others = [self.encode_piece(" " + u) for u in texts_of(units.take(pa.array(np.flatnonzero(wide))))]
         sizes[np.flatnonzero(wide)] = [len(o) // 4 for o in others]
         sizes = sizes[:-1]
         stored = np.concatenate([plain, np.flatnonzero(wide), np.flatnonzero(odd)])
@@ -181,6 +181,11 @@ class Encoder:
         return b"".join(map(self.encode_piece, [first, *[" " + p for p in rest]]))
 
 
+def texts_of(array: pa.Array) -> list[str]:
+    """The array as a list; by way of NumPy, which makes no scalars on the way."""
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
 def gather(values: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> np.ndarray:
     """Runs of ``values`` (of the given sizes, one after another) in another order."""
     n = sizes[order]
