@@ -127,6 +127,20 @@ def q27b_csv_files(spark, sf_dir):
     return rows.withColumn("key", F.col("key").cast("long")).select(*names, "src_rank", "src_file")
 
 
+# Orders with line breaks, commas and quotes inside their fields.
+ORDER_NAME = """CASE status WHEN 'P' THEN 'one line' WHEN 'F' THEN '"' || priority || '",\n\n' || key
+  ELSE '\n' || key || '\n"' END"""
+
+
+def q27c_csv_blocks(spark, sf_dir):
+    """A large export with line breaks in its fields, written and then read in blocks."""
+    folder = f"{shared_folder(spark)}/rollcall/{uuid.uuid4().hex}"
+    rows = orders(spark, sf_dir).selectExpr("key", f"{ORDER_NAME} AS Name", "date_format(day, 'yyyy') AS DOB_DJ", "'a\nb' AS Watchlist")
+    list_csv.write_list_csv(rows, f"{folder}/sanctions_cleaned_orders.csv")
+    read = list_csv.read_list_csv(spark, list_csv.list_exports(spark, folder), ("key", "Name", "DOB_DJ", "Watchlist"), splittable=True)
+    return read.select(F.col("key").cast("long").alias("key"), "Name", "DOB_DJ", "Watchlist", "src_file")
+
+
 FILE_COLUMNS = (
     "doc_id AS row_pos",
     """CASE WHEN length(source) = 4 THEN 'sanctions_cleaned_' || source || '.csv'
@@ -231,6 +245,7 @@ QUERIES = {
     "q26_date_converted_count": q26_date_converted_count,
     "q27_csv_union_scan": q27_csv_union_scan,
     "q27b_csv_files": q27b_csv_files,
+    "q27c_csv_blocks": q27c_csv_blocks,
     "q28_file_label": q28_file_label,
     "q28b_recognise_files": q28b_recognise_files,
     "q29_regulation_number": q29_regulation_number,
@@ -371,6 +386,10 @@ CHECKS = {
       UNION ALL SELECT p_partkey, CASE WHEN p_size > 9 THEN p_name END, NULL, NULL, NULL,
         1, 'sanctions_from_2025_t.csv' FROM part WHERE p_type NOT IN ('PROMO', 'LARGE')
     """,
+    "q27c_csv_blocks": f"""
+      SELECT key, {ORDER_NAME} AS "Name", strftime(day, '%Y') AS "DOB_DJ", 'a' || chr(10) || 'b' AS "Watchlist",
+        'sanctions_cleaned_orders.csv' AS src_file FROM ({ORDERS_SQL})
+    """,
     "q28_file_label": f"""
       SELECT row_pos, src_file, {_LABEL_OF_FILE} AS "Watchlist" FROM ({_FILES})
     """,
