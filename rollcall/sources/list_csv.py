@@ -14,7 +14,10 @@ CSV_READ = {
     "header": "false", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8",
     "mode": "PERMISSIVE",
 }
-CSV_WRITE = {"header": "true", "escape": '"', "encoding": "UTF-8", "emptyValue": "", "nullValue": ""}
+CSV_WRITE = {
+    "header": "true", "escape": '"', "encoding": "UTF-8", "emptyValue": "", "nullValue": "",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",  # blanks stay as they are
+}
 
 ALL_COLUMNS = tuple(dict.fromkeys(fv.FEED_COLUMNS + fv.LIST_COLUMNS))
 MAX_COLUMNS = 1_000_000
