@@ -1,8 +1,12 @@
 """XML scans: files by row tag, or XML text already sitting in a column."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from rollcall.operators.small_tables import BROADCAST_BYTES, fits_broadcast, materialise
 from rollcall.schemas import (
     CORRUPT_COLUMN, FEED_ENTITY, LIST_ENTITY, LIST_INDIVIDUAL, XML_OPTIONS,
 )
@@ -35,38 +39,101 @@ def _read(spark: SparkSession, path, schema: str, row_tag: str) -> DataFrame:
     return records.select("*", F.col("_metadata.file_path").alias(LIST_FILE))
 
 
-def _hides(text: Column, opener: str, closer: str, tag: str) -> Column:
-    """Whether a comment or CDATA section holds the tag, or is cut off by the end of the text."""
-    inside = F.transform(F.split(text, opener), lambda p: F.substring_index(p, closer, 1))
-    open_ended = ~F.element_at(F.split(text, opener), -1).contains(closer)
-    sections = F.slice(inside, F.lit(2), F.size(inside))
-    return (F.size(inside) > 1) & (open_ended | F.exists(sections, lambda p: p.rlike(rf"<{tag}\b")))
+#: Comments and CDATA sections, whole; and what is left of ones that a piece cuts.
+_SECTION = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
+_EDGE = r"<!--|-->|<!\[CDATA\[|\]\]>"
+COMMENT, DATA = ("<!--", "-->"), ("<![CDATA[", "]]>")
+_MESSAGE = "comments and CDATA sections that hold each other's ends: read with splittable=False"
+
+
+def _close_tag(spark: SparkSession, path, row_tag: str) -> str:
+    """How the first closing tag of a record is written; prefixes and blanks are possible."""
+    tags = spark.read.option("lineSep", ">").text(path).filter(F.col("value").contains(row_tag))
+    found = tags.select(F.regexp_extract("value", rf"</(?:[\w.-]+:)?{row_tag}\s*\z", 0).alias("tag")).filter("tag != ''").first()
+    return f"{found.tag}>" if found else f"</{row_tag}>"
+
+
+def _edges(value: Column) -> Column:
+    """Ends of sections in a piece whose other end lies in another piece, in order."""
+    some = reduce(lambda a, b: a | b, [value.contains(e) for e in (*COMMENT, *DATA)])
+    cut = F.regexp_extract_all(F.regexp_replace(value, _SECTION, ""), F.lit(_EDGE), F.lit(0))
+    return F.when(some, cut).otherwise(F.array().cast("array<string>"))
+
+
+def _cut_sections(pieces: DataFrame) -> DataFrame:
+    """``list_file``, ``first`` and ``last`` places of the pieces to be joined, as a section goes on between them.
+
+    Only pieces that cut a section are looked at. A section is open behind a piece if the
+    last edge of its kind opens one; edges of the other kind within it are not followed.
+    """
+    order = W.partitionBy(LIST_FILE).orderBy("place")
+    upto, before = order.rowsBetween(W.unboundedPreceding, 0), order.rowsBetween(W.unboundedPreceding, -1)
+    events = pieces.select(LIST_FILE, "place", _edges(F.col("value")).alias("edges")).filter(F.size("edges") > 0)
+    for name, (opens, closes) in (("comment", COMMENT), ("data", DATA)):
+        own = F.filter("edges", lambda e: e.isin(opens, closes))
+        events = events.withColumn(f"{name}_edge", F.try_element_at(own, F.lit(-1)) == opens)
+        for when, span in (("after", upto), ("before", before)):
+            events = events.withColumn(f"{name}_{when}", F.coalesce(F.last(f"{name}_edge", ignorenulls=True).over(span), F.lit(False)))
+    odd = (F.col("comment_edge").isNotNull() & (F.col("data_edge").isNotNull() | F.col("data_before"))) | (
+        F.col("data_edge").isNotNull() & F.col("comment_before"))
+    known = F.when(odd, F.raise_error(F.lit(_MESSAGE)).cast("boolean")).otherwise(F.col("comment_after") | F.col("data_after"))
+    events = events.withColumn("open", known).withColumn("open_before", F.col("comment_before") | F.col("data_before"))
+    events = events.filter("open OR open_before").withColumn("run", F.sum((~F.col("open_before")).cast("int")).over(upto))
+    runs = events.groupBy(LIST_FILE, "run").agg(F.min("place").alias("first"), F.max("place").alias("end"), F.max_by("open", "place").alias("open"))
+    # A section that nothing closes lasts to the end of its file.
+    return runs.select(F.col(LIST_FILE).alias("_file"), "first", F.when(~F.col("open"), F.col("end")).alias("last"))
+
+
+def _whole_pieces(spark: SparkSession, path, close: str) -> DataFrame:
+    """``list_file`` and ``value``: the text between closing tags, those inside comments and CDATA left out.
+
+    Few files have sections that hold closing tags, so these are looked for first, and only
+    then are pieces numbered and joined; no other piece is moved.
+    """
+    pieces = spark.read.option("lineSep", close).text(path).select(
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")).alias("place"),
+        "value", F.col("_metadata.file_path").alias(LIST_FILE))
+    if materialise(_cut_sections(pieces)).isEmpty():
+        return pieces.select(LIST_FILE, "value")
+    pieces = materialise(pieces)
+    runs = materialise(_cut_sections(pieces))
+    held = F.broadcast(runs) if fits_broadcast(runs, BROADCAST_BYTES) else runs
+    within = (F.col(LIST_FILE) == F.col("_file")) & (F.col("place") >= F.col("first")) & (F.col("last").isNull() | (F.col("place") <= F.col("last")))
+    placed = pieces.join(held, within, "left")
+    parts = F.array_sort(F.collect_list(F.struct("place", "value")))
+    joined = placed.filter("first IS NOT NULL").groupBy(LIST_FILE, "first").agg(parts.alias("parts"))
+    texts = F.array_join(F.transform("parts", lambda p: p["value"]), close)
+    return placed.filter("first IS NULL").select(LIST_FILE, "value").union(joined.select(LIST_FILE, texts.alias("value")))
+
+
+def _plain(value: Column) -> Column:
+    """The same XML without comments, and with CDATA as escaped text, so that every tag in it is one."""
+    bare = F.regexp_replace(value, r"(?s)(<!\[CDATA\[.*?\]\]>)|<!--.*?-->", "$1")
+    escaped = lambda t: F.replace(F.replace(F.replace(t, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    turned = F.transform(F.split(bare, r"<!\[CDATA\[|\]\]>"), lambda t, i: F.when(i % 2 == 1, escaped(t)).otherwise(t))
+    return F.when(value.contains("<!"), F.array_join(turned, "")).otherwise(value)
 
 
 def _read_split(spark: SparkSession, path, schema: str, row_tag: str) -> DataFrame:
     """The same records from files too large for one task.
 
-    The XML source reads a file in one task. The text source splits files, and
-    with the closing tag as its line end a piece holds self-closed records, and
-    then one other record at most. Prefixed tags, closing tags with blanks, and
-    tags inside comments or CDATA cannot be told apart this way: they fail the read.
+    The XML source reads a file in one task. The text source splits files, and with the
+    closing tag as its line end a piece holds self-closed records, and then one other
+    record at most. The tag is taken as the first one is written; others, with a prefix or
+    blanks, part a piece further.
     """
-    close = f"</{row_tag}>"
-    value = F.col("value")
-    odd = value.rlike(rf"</(?:[\w.-]+:{row_tag}\s*|{row_tag}\s+)>") | value.rlike(rf"<[\w.-]+:{row_tag}[\s/>]")
-    odd = odd | _hides(value, "<!--", "-->", row_tag) | _hides(value, r"<!\[CDATA\[", "]]>", row_tag)
-    message = f"tags of {row_tag} that a splitting read cannot follow: read with splittable=False"
-    pieces = spark.read.option("lineSep", close).text(path).select(
-        F.when(odd, F.raise_error(F.lit(message)).cast("string")).otherwise(value).alias("value"),
-        F.col("_metadata.file_path").alias(LIST_FILE),
-    )
-    start = rf"(?s)^(.*)(<{row_tag}(?:\s(?:[^>]*[^/>])?)?>.*)$"
-    last = F.regexp_extract("value", start, 2)
-    head = F.when(last == "", value).otherwise(F.regexp_extract("value", start, 1))
-    closed = F.regexp_extract_all(head, F.lit(rf"<{row_tag}(?:\s[^>]*)?/>"), F.lit(0))
-    whole = F.when(last == "", closed).otherwise(F.array_append(closed, F.concat(last, F.lit(close))))
-    records = pieces.select(F.explode(whole).alias("record"), LIST_FILE)
-    return parse_column(records, "record", schema, row_tag, LIST_FILE)
+    name = rf"(?:[\w.-]+:)?{row_tag}"
+    pieces = _whole_pieces(spark, path, _close_tag(spark, path, row_tag)).select(LIST_FILE, _plain(F.col("value")).alias("value"))
+    start = rf"(?s)^(.*)(<{name}(?:\s(?:[^>]*[^/>])?)?>.*)$"
+
+    def records(piece: Column) -> Column:
+        last = F.regexp_extract(piece, start, 2)
+        head = F.when(last == "", piece).otherwise(F.regexp_extract(piece, start, 1))
+        closed = F.regexp_extract_all(head, F.lit(rf"<{name}(?:\s[^>]*)?/>"), F.lit(0))
+        return F.when(last == "", closed).otherwise(F.array_append(closed, F.concat(F.regexp_replace(last, r"^<[\w.-]+:", "<"), F.lit(f"</{row_tag}>"))))
+
+    found = F.flatten(F.transform(F.split("value", rf"</{name}\s*>"), records))
+    return parse_column(pieces.select(F.explode(found).alias("record"), LIST_FILE), "record", schema, row_tag, LIST_FILE)
 
 
 def read_records(

@@ -151,16 +151,43 @@ def test_split_reads_self_closed_records(spark, tmp_path):
     assert whole == split and len(split) == 4
 
 
-@pytest.mark.parametrize("text", [
-    "<n:entity></n:entity>", "<entity></entity >", "<!-- <entity></entity> -->",
-    "<entity><![CDATA[</entity>]]></entity>", "<!-- <entity> --><entity></entity>",
-])
-def test_split_fails_on_tags_it_cannot_follow(spark, tmp_path, text):
-    path = put(tmp_path, "f.xml", f"<a>{text}</a>")
+NAMED = "<names><name><isPrimary>{}</isPrimary></name></names>"
+TAGS = [
+    "<n:entity></n:entity>", "<entity action='1'></entity >", "<!-- <entity></entity> -->", "<entity action='2'><x><![CDATA[</entity>]]></x></entity>",
+    "<!-- <entity> --><entity action='3'></entity>", f"<entity action='4'>{NAMED.format('<![CDATA[a<b & </entity> <entity>]]> &amp; c')}</entity>",
+    "<entity\n action='5'></entity\n>", "<entity action='6'><!-- </entity> --><names/></entity>", "<n:entity action='7'><n:names/></n:entity><entity action='8'/>",
+    "<![CDATA[ <!-- ]]><entity action='10'></entity>",
+    "<!-- </entity></entity></entity> --><entity action='11'></entity><!-- </entity>--><entity action='12'></entity>",
+    "<entity action='13'></entity>--><entity action='14'></entity>",
+]
+
+
+@pytest.mark.parametrize("texts", [*[[t] for t in TAGS], TAGS, TAGS[::-1], TAGS * 5])
+def test_split_follows_prefixes_comments_and_cdata(spark, tmp_path, texts):
+    path = put(tmp_path, "f.xml", f"<a xmlns:n='urn:n'>{' '.join(texts)}</a>")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "150")
+    spark.conf.set("spark.sql.files.openCostInBytes", "150")
+    try:
+        whole, split = (sorted(map(str, xml.read_feed(spark, path, splittable=s).collect())) for s in (False, True))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert split == whole
+
+
+@pytest.mark.parametrize("text", ["<![CDATA[ --> </entity> <!-- ]]>", "<!-- </entity> <entity> <![CDATA[ -->"])
+def test_split_fails_on_sections_within_each_other(spark, tmp_path, text):
+    path = put(tmp_path, "f.xml", f"<a><entity></entity>{text}<entity></entity></a>")
     with pytest.raises(Exception, match="splittable=False"):
         xml.read_feed(spark, path, splittable=True).collect()
 
 
+def test_split_moves_no_piece_without_need(spark, tmp_path):
+    path = put(tmp_path, "f.xml", "<a>" + "<entity action='1'><!-- a --></entity>" * 50 + "</a>")
+    split = xml.read_feed(spark, path, splittable=True)
+    assert split.count() == 50 and "Exchange" not in split._jdf.queryExecution().executedPlan().toString()
+
+
 def exports(tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
