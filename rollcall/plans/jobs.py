@@ -6,6 +6,7 @@ parsed twice. Output goes to a directory of its own, never among the inputs.
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,9 +14,10 @@ from rollcall import fixed_values as fv
 from rollcall.functions.dates import generation_date
 from rollcall.operators import answers, consolidate, documents, feed, full_list, reports
 from rollcall.operators.small_tables import BROADCAST_BYTES, fits_broadcast, materialise
-from rollcall.schemas import FEED_CONTRACT, LIST_CONTRACT, strings
+from rollcall.schemas import CORRUPT_COLUMN, FEED_CONTRACT, LIST_CONTRACT, strings
 from rollcall.sources import documents as document_files
 from rollcall.sources import list_csv, xml
+from rollcall.sources.readable import readable
 
 
 def _written(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -32,20 +34,59 @@ def _write_unless_empty(df: DataFrame, path: str) -> str | None:
     return path
 
 
-def land_feed(spark: SparkSession, source, out_dir: str, day: str, **how) -> DataFrame | None:
-    """Delta-feed files to ``sanctions_cleaned_<day>.csv``; None when empty."""
-    records = feed.flatten_feed(xml.read_feed(spark, source, **how))
-    path = _write_unless_empty(records, f"{out_dir}/{fv.CLEANED_PREFIX}{day}.csv")
-    return _written(spark, path, FEED_CONTRACT) if path else None
+LANDING_REJECTS = "file string, reason string, record string"
 
 
-def recent_list(
-    spark: SparkSession, source, today: Column, **how
-) -> tuple[DataFrame, DataFrame]:
-    """(individuals, entities) listed on their list's generation day or just before.
+def _set_aside(rejects: DataFrame, out_dir: str, name: str) -> None:
+    """Broken records and unreadable files, with their files and texts; nothing if there are none."""
+    ready = materialise(rejects)
+    if not ready.isEmpty():
+        ready.write.mode("overwrite").json(f"{out_dir}/rejects/{name}")
 
-    Every file is held against its own date, and against ``today`` if it has none.
+
+def landing_rejects(spark: SparkSession, out_dir: str, name: str = "*") -> DataFrame:
+    """``file``, ``reason`` and ``record`` of all that the landing jobs set aside in ``out_dir``, or one of them by its export's name.
+
+    An unreadable file has no record.
     """
+    try:
+        return spark.read.schema(LANDING_REJECTS).json(f"{out_dir}/rejects/{name}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LANDING_REJECTS)
+
+
+def _parsed(spark: SparkSession, source, read, splittable: bool = True, **how) -> tuple[DataFrame, DataFrame]:
+    """(good records with their ``list_file``, rejects), from a table into which every record is parsed once.
+
+    Records are cut out before they are parsed, so a broken one is set aside alone. Spark's own
+    XML source (``splittable=False``) gives up a file at its first broken record.
+    """
+    records = materialise(read(spark, source, quarantine=True, with_file=True, splittable=splittable, **how))
+    bad = F.col(CORRUPT_COLUMN).isNotNull()
+    rejects = records.filter(bad).select(F.col(xml.LIST_FILE).alias("file"), F.lit("not well-formed").alias("reason"), F.col(CORRUPT_COLUMN).alias("record"))
+    return records.filter(~bad).drop(CORRUPT_COLUMN), rejects
+
+
+def land_feed(spark: SparkSession, source, out_dir: str, day: str, **how) -> DataFrame | None:
+    """Delta-feed files to ``sanctions_cleaned_<day>.csv``; None when empty.
+
+    Broken records and unreadable files do not stop the others; :func:`landing_rejects` names them.
+    """
+    name = f"{fv.CLEANED_PREFIX}{day}.csv"
+    files, unread = readable(spark, source)
+    if not files:
+        _set_aside(unread, out_dir, name)
+        return None
+    good, broken = _parsed(spark, files, xml.read_feed, **how)
+    path = _write_unless_empty(feed.flatten_feed(good), f"{out_dir}/{name}")
+    _set_aside(broken.unionByName(unread, allowMissingColumns=True), out_dir, name)
+    return _written(spark, path, FEED_CONTRACT) if path else None
+
+
+def _recent(spark: SparkSession, source, today: Column):
+    """A filter of records by the generation day of their list."""
     stamps = materialise(xml.read_generation_stamps(spark, source))
     # A row per file; beyond the checked size the join shuffles.
     known = F.broadcast(stamps) if fits_broadcast(stamps, BROADCAST_BYTES) else stamps
@@ -55,6 +96,17 @@ def recent_list(
         day = generation_date(F.col("stamp"), today)
         return full_list.recent_only(dated, day).drop(xml.LIST_FILE, "stamp")
 
+    return recent
+
+
+def recent_list(
+    spark: SparkSession, source, today: Column, **how
+) -> tuple[DataFrame, DataFrame]:
+    """(individuals, entities) listed on their list's generation day or just before.
+
+    Every file is held against its own date, and against ``today`` if it has none.
+    """
+    recent = _recent(spark, source, today)
     people = recent(xml.read_list_individuals(spark, source, with_file=True, **how))
     groups = recent(xml.read_list_entities(spark, source, with_file=True, **how))
     return full_list.flatten_individuals(people), full_list.flatten_entities(groups)
@@ -63,12 +115,23 @@ def recent_list(
 def land_full_list(
     spark: SparkSession, source, out_dir: str, stamp: str, today: Column, **how
 ) -> list[DataFrame]:
-    """The recent listings to one export each for individuals and entities."""
-    people, groups = recent_list(spark, source, today, **how)
+    """The recent listings to one export each for individuals and entities.
+
+    Broken records and unreadable files do not stop the others; :func:`landing_rejects` names them.
+    """
+    name = f"{fv.CLEANED_PREFIX}{stamp}.csv"
+    files, unread = readable(spark, source)
+    if not files:
+        _set_aside(unread, out_dir, name)
+        return []
+    recent = _recent(spark, files, today)
+    people, broken_people = _parsed(spark, files, xml.read_list_individuals, **how)
+    groups, broken_groups = _parsed(spark, files, xml.read_list_entities, **how)
     paths = [
-        _write_unless_empty(people, f"{out_dir}/{fv.CLEANED_PREFIX}{stamp}.csv"),
-        _write_unless_empty(groups, f"{out_dir}/{fv.CLEANED_PREFIX}entities_{stamp}.csv"),
+        _write_unless_empty(full_list.flatten_individuals(recent(people)), f"{out_dir}/{name}"),
+        _write_unless_empty(full_list.flatten_entities(recent(groups)), f"{out_dir}/{fv.CLEANED_PREFIX}entities_{stamp}.csv"),
     ]
+    _set_aside(broken_people.union(broken_groups).unionByName(unread, allowMissingColumns=True), out_dir, name)
     return [_written(spark, p, LIST_CONTRACT) for p in paths if p]
 
 

@@ -8,6 +8,7 @@ from rollcall import fixed_values as fv
 from rollcall.functions.csvtext import csv_fields, fields_at, places_of, present
 from rollcall.operators.consolidate import ROW_POS, SRC_FILE, SRC_RANK
 from rollcall.operators.small_tables import join_known, materialise
+from rollcall.sources.readable import readable
 from rollcall.sources.split_csv import split_records
 
 CSV_READ = {
@@ -21,7 +22,8 @@ CSV_WRITE = {
 
 ALL_COLUMNS = tuple(dict.fromkeys(fv.FEED_COLUMNS + fv.LIST_COLUMNS))
 MAX_COLUMNS = 1_000_000
-REJECTS = "src_file string, part string, record_no long, n_fields int, n_header int, record string"
+RECORDS = "src_file string, part string, row long, fields array<string>"
+REJECTS = "src_file string, part string, record_no long, n_fields int, n_header int, record string, reason string"
 _PREFIX = f"(?:{fv.CLEANED_PREFIX}|{fv.REGULATION_PREFIX})"
 # The last part of a path that has the name of an export: a file, or a directory of parts,
 # which may be the partition of a written table.
@@ -86,13 +88,15 @@ def read_exports(spark: SparkSession, paths, columns=ALL_COLUMNS, splittable: bo
     Files with nothing but a header add no rows. A record with more fields than
     its file's header is set aside, with its file and its number in it (the
     header is 0), and the file's other records are kept. Fields missing at the
-    end of a record are null.
+    end of a record are null. A compressed file that cannot be unpacked is set aside
+    as a whole, with the reason, and the other files are read.
 
     The records are written once, and headers, rows and rejects are all read
     from that table, so that nothing depends on how a scan deals out files.
     """
     scan = scan_split if splittable else scan_records
-    records = materialise(scan(spark, paths))
+    paths, unread = readable(spark, paths)
+    records = materialise(scan(spark, paths)) if paths else spark.createDataFrame([], RECORDS)
     known = headers(records).select(
         "part", "head_row", F.size("header").alias("n_header"),
         places_of(F.col("header"), columns).alias("places"),
@@ -107,9 +111,10 @@ def read_exports(spark: SparkSession, paths, columns=ALL_COLUMNS, splittable: bo
     rejects = body.filter(wide).select(
         SRC_FILE, "part", (F.col("row") - F.col("head_row")).alias("record_no"),
         F.size("fields").alias("n_fields"), "n_header",
-        F.to_json("fields").alias("record"),
+        F.to_json("fields").alias("record"), F.lit("more fields than the header").alias("reason"),
     )
-    return rows, rejects
+    files = unread.select(export_name(F.col("file")).alias(SRC_FILE), F.col("file").alias("part"), "reason")
+    return rows, rejects.unionByName(files, allowMissingColumns=True)
 
 
 def read_list_csv(spark: SparkSession, paths, columns=ALL_COLUMNS, splittable: bool = False) -> DataFrame:
