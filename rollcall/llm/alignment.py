@@ -41,9 +41,9 @@ from pyspark.sql import functions as F
 from rollcall.llm.token_files import Encoder, gather
 from rollcall.operators.small_tables import materialise
 
-BATCH_CHARS = 4_000_000
-SLICE_CHARS = 500_000
-REMEMBERED = 200_000
+BATCH_CHARS = 2_000_000
+SLICE_CHARS = 250_000
+REMEMBERED = 80_000
 LISTED = 2_000_000
 _JOINT = re.compile(r"(?<=\S) (?=\S)")
 BATCHES = ("key long, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, groups array<string>, "
@@ -93,7 +93,7 @@ class TwoTokenizers:
     def __init__(self, a_json: bytes, a_pattern: str, b_model: bytes) -> None:
         from sentencepiece import SentencePieceProcessor
 
-        self.a = Encoder(a_json, a_pattern)
+        self.a = Encoder(a_json, a_pattern, remembered=REMEMBERED)
         self.b = SentencePieceProcessor(model_proto=b_model)
         letters = {letter: bytes([byte]) for byte, letter in self.a.letters.items()}
         entries = self.a.tokenizer.get_vocab(with_added_tokens=True)
