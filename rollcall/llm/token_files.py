@@ -37,11 +37,11 @@ from pyspark.sql import functions as F
 END_ID = 0
 BLOCK = 65_536
 CHUNK = 4 * BLOCK
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 LATIN = "\u024f"  # the last letter of the Latin blocks
 CHUNKS = ("shard int, chunk int, first long, n_ids long, planes_per_block int, doc_ids array<long>, "
           "doc_sizes array<long>, planes array<binary>")
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 3_000_000
 # White space as any of the libraries understands it.
 _BLANK_EDGE = "^$|^[{0}]|[{0}]$".format("\\s\\x0b\\x1c-\\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000")
 _JOINT = re.compile(r"(?<=\S) (?=\S)")
@@ -56,7 +56,7 @@ class Encoder:
     plain call of the library; a text that holds an added token is encoded as a whole.
     """
 
-    def __init__(self, vocabulary: bytes, pattern: str, special: bool = False) -> None:
+    def __init__(self, vocabulary: bytes, pattern: str, special: bool = False, remembered: int = REMEMBERED) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary.decode())
@@ -66,6 +66,7 @@ class Encoder:
         self.find = regex.compile(pattern).findall
         self.letters = _byte_letters()
         self.tokens: dict[str, bytes] = {}
+        self.remembered = remembered
 
     def encode_piece(self, piece: str) -> bytes:
         if not piece:
@@ -80,7 +81,7 @@ class Encoder:
         new = [k for k, ids in enumerate(found) if ids is None]
         if not new:
             return found
-        if len(self.tokens) + len(new) > REMEMBERED:
+        if len(self.tokens) + len(new) > self.remembered:
             self.tokens.clear()
         words = [tokens[k] for k in new]
         data = [w.encode() for w in words]
