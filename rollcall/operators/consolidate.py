@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollcall import fixed_values as fv
 from rollcall.functions import dates, labels
@@ -33,15 +34,38 @@ def align_columns(listed: DataFrame) -> DataFrame:
     return listed.withColumnsRenamed(fv.LIST_TO_FEED_COLUMNS)
 
 
+def first_places(rows: DataFrame) -> DataFrame:
+    """(src_file, first_place): each file's smallest place, null if it has none.
+
+    Places end in a number. It is aggregated by the columns ahead of it, in hash
+    tables, and the few results are compared as a whole.
+    """
+    kind = rows.schema[ROW_POS].dataType
+    parts = [F.col(f"{ROW_POS}.{f.name}") for f in kind.fields] if isinstance(kind, T.StructType) else [F.col(ROW_POS)]
+    ahead = [p.alias(f"ahead{i}") for i, p in enumerate(parts[:-1])]
+    least = rows.groupBy(SRC_FILE, *ahead).agg(F.min(parts[-1]).alias("least"))
+    if not ahead:
+        return least.withColumnRenamed("least", "first_place")
+    names = [f"ahead{i}" for i in range(len(ahead))]
+    first = F.row_number().over(Window.partitionBy(SRC_FILE).orderBy(*[F.asc_nulls_last(n) for n in (*names, "least")])) == 1
+    place = F.struct(*[F.col(n).alias(f.name) for n, f in zip([*names, "least"], kind.fields)])
+    return least.withColumn("first", first).filter("first").select(SRC_FILE, place.alias("first_place"))
+
+
 def first_rows(rows: DataFrame) -> DataFrame:
     """(src_file, Source, Watchlist) of each file's first row, nulls included.
 
-    Each task reduces its rows to one per file before anything is shuffled.
+    Only places are aggregated; the rows themselves are picked by a join with them.
+    Of rows that share a file's first place, that with the least texts counts.
     """
     seen = [c if c in rows.columns else None for c in ("Source", "Watchlist")]
     source, watchlist = (F.col(c) if c else F.lit(None).cast("string") for c in seen)
-    first = F.min_by(F.struct(source.alias("Source"), watchlist.alias("Watchlist")), F.col(ROW_POS))
-    return rows.groupBy(SRC_FILE).agg(first.alias("first")).select(SRC_FILE, "first.*")
+    named = rows.select(SRC_FILE, ROW_POS, source.alias("Source"), watchlist.alias("Watchlist"))
+    kind = rows.schema[ROW_POS].dataType
+    own = F.struct(*[F.col(f"{ROW_POS}.{f.name}") for f in kind.fields]) if isinstance(kind, T.StructType) else F.col(ROW_POS)
+    firsts = join_small(named, first_places(rows), SRC_FILE, ROW_POS).filter(own.eqNullSafe(F.col("first_place")))
+    place = F.row_number().over(Window.partitionBy(SRC_FILE).orderBy("Source", "Watchlist"))
+    return firsts.withColumn("place", place).filter("place = 1").select(SRC_FILE, "Source", "Watchlist")
 
 
 def recognise_files(rows: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+PIECES = 8  # of a share: hashing deals small pieces more evenly
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,20 +40,35 @@ def fits_broadcast(known: DataFrame, max_bytes: int) -> bool:
     return (size or 0) <= max_bytes
 
 
+def hot_keys(df: DataFrame, key: str) -> DataFrame:
+    """``hot`` and ``salts``: the keys with more rows than a partition's share, and over how many to deal them.
+
+    Rows are counted before they are shuffled. A share is the rows divided by the number of
+    shuffle partitions, so there are fewer such keys than partitions.
+    """
+    spark = df.sparkSession
+    counts = materialise(df.groupBy(F.col(key).alias("hot")).count())
+    share = (counts.agg(F.sum("count")).first()[0] or 0) / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salts = F.ceil(F.col("count") * PIECES / F.lit(max(share, 1.0))).cast("int")
+    return counts.filter(F.col("hot").isNotNull() & (F.col("count") > share)).select("hot", salts.alias("salts"))
+
+
 def join_known(
     df: DataFrame, known: DataFrame, key: str, salt_by: str, max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Inner join with a written table of one row per key, whatever the skew.
 
     Up to ``max_bytes`` the table is broadcast and ``df`` stays where it is.
-    Beyond that both sides are shuffled, with the rows of each key dealt over
-    several salts, so that a key holding a large share of ``df`` does not end
-    in one task.
+    Beyond that both sides are shuffled, with the rows of hot keys, and of these
+    only, dealt over salts in proportion to how many shares they hold.
     """
     if fits_broadcast(known, max_bytes):
         return df.join(F.broadcast(known), key)
-    salted = df.withColumn("salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int"))
-    copies = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    hot = F.broadcast(materialise(hot_keys(df, key)))  # fewer rows than partitions
+    dealt = F.coalesce(F.pmod(F.xxhash64(salt_by), F.col("salts")).cast("int"), F.lit(0))
+    salted = df.join(hot, F.col(key) == F.col("hot"), "left").withColumn("salt", dealt).drop("hot", "salts")
+    each = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts") - 1, F.lit(0))))
+    copies = known.join(hot, F.col(key) == F.col("hot"), "left").withColumn("salt", each).drop("hot", "salts")
     return salted.join(copies, [key, "salt"]).drop("salt")
 
 

@@ -2,10 +2,11 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from rollcall.operators import answers, consolidate, documents, feed, full_list, links, reports
-from rollcall.operators.small_tables import materialise
+from rollcall.operators.small_tables import hot_keys, join_known, materialise
 from rollcall.schemas import FEED_ENTITY, LIST_INDIVIDUAL
 from rollcall.sources.xml import parse_column
 
@@ -58,10 +59,41 @@ def test_counts_need_one_column(spark, tmp_path):
     assert "text" not in plan(reports.distribution(table, "Type", "Watchlist"))
 
 
-def test_first_rows_are_reduced_before_the_shuffle(spark, tmp_path):
-    table = stored(spark, tmp_path, "src_file string, row_pos long, Source string, Watchlist string, text string")
-    p = plan(consolidate.first_rows(table))
-    assert p.index("partial_min_by") > p.index("Exchange") and "text" not in p
+@pytest.mark.parametrize("place", ["long", "struct<part:string,row:bigint>"])
+def test_first_rows_are_found_among_numbers(spark, tmp_path, place):
+    """Only places are aggregated, in hash tables on both sides of the shuffle; texts are picked by a join."""
+    table = stored(spark, tmp_path, f"src_rank int, src_file string, row_pos {place}, Source string, Watchlist string, Name string, other string")
+    for df in (consolidate.first_rows(table), consolidate.label_files(table), consolidate.consolidate(table)):
+        assert "SortAggregate" not in plan(df)
+    p = plan(consolidate.first_places(table))
+    assert p.count("HashAggregate") == 2 and "Watchlist" not in p
+
+
+def test_first_rows_with_ties_and_without_places(spark):
+    rows = [("a", ("p1", 5), "s1", None), ("a", ("p0", 7), "s2", "w"), ("a", ("p0", 7), "s2", "v"), ("b", None, None, "x"), ("b", None, None, "y"), ("c", ("p", None), "z", "z")]
+    table = spark.createDataFrame(rows, "src_file string, row_pos struct<part:string,row:bigint>, Source string, Watchlist string")
+    assert sorted(map(tuple, consolidate.first_rows(table).collect())) == [("a", "s2", "v"), ("b", None, "x"), ("c", "z", "z")]
+
+
+def test_hot_keys_are_dealt_by_weight(spark):
+    """A key with a third of the rows gives no task over twice the median; calm keys are not copied."""
+    rows = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 5000)).alias("k"), F.col("id").alias("pos"))
+    known = materialise(rows.select("k").distinct().withColumn("label", F.concat(F.lit("l "), "k")))
+    hot = {r.hot: r.salts for r in hot_keys(rows, "k").collect()}
+    assert list(hot) == ["hot"] and hot["hot"] == 22  # a third of the rows, shares of an eighth, eight pieces a share
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "32"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = join_known(rows, known, "k", "pos", max_bytes=100)
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        assert joined.filter("label != concat('l ', k)").count() == 0 and joined.count() == 300_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
 
 
 def test_shares_and_total_read_the_same_counts(spark):
