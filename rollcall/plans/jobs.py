@@ -4,6 +4,7 @@ Every job writes its table first and reports from what it wrote, so nothing is
 parsed twice. Output goes to a directory of its own, never among the inputs.
 """
 
+import time
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -148,10 +149,11 @@ def land_answers(
     """Save the cleaned answers as list exports, and return their rows as tagged list rows.
 
     ``replies`` has one answer text per document, ``source`` names the document.
-    Each document becomes the export ``sanctions_from_<stem>_<stamp>.csv`` in
-    ``out_dir``, a partition of a table of texts, which a consolidation of that
-    directory finds. Landing the same document again under the same stamp
-    replaces its export and leaves all others as they are.
+    Each document becomes the export ``sanctions_from_<stem>_<stamp>.csv``, a row of
+    the table of answers in ``out_dir``, which a consolidation of that directory
+    finds; so any number of answers lands in as many files as there are tasks. Landing
+    the same document again under the same stamp replaces its export and leaves all
+    others as they are; a null answer lands nothing.
     """
     name = F.regexp_replace(F.col(source), r"\.[^.]*\z", "")
     named = replies.select(
@@ -159,9 +161,7 @@ def land_answers(
         answers.strip_fences(F.col(answer)).alias("csv_text"),
     )
     saved = materialise(named)
-    saved.filter("csv_text IS NOT NULL").write.partitionBy("src_file").option(
-        "partitionOverwriteMode", "dynamic"
-    ).mode("overwrite").text(out_dir)
+    list_csv.write_answers(saved.filter("csv_text IS NOT NULL"), out_dir, time.time_ns())
     rows = answers.answer_rows(saved, "csv_text", "src_file", "src_file")
     return consolidate.tag_source(rows.drop("Source_File"), 1, F.col("src_file"), "row_pos")
 

@@ -1,11 +1,16 @@
 """Documents: q18 - q21."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from rollcall.functions.text import readable_size
 from rollcall.operators import documents as op
 from rollcall.operators import reports
-from rollcall.queries.tables import orders, wide_table
+from rollcall.operators.small_tables import shared_folder
+from rollcall.queries.tables import orders, table, wide_table
+from rollcall.sources.document_blocks import block_totals, encode_blocks
+from rollcall.sources.documents import read_documents, read_inventory
 
 NAME = """'doc_' || doc_id || CASE lang WHEN 'en' THEN '.md' WHEN 'de' THEN '.MARKDOWN'
   WHEN 'fr' THEN '.txt' ELSE '.pdf' END"""
@@ -82,14 +87,50 @@ def q21c_latest_file(spark, sf_dir):
     return op.latest_file(_files(spark, sf_dir), "family")
 
 
+def _written(spark, sf_dir):
+    """The texts of each source as one document file, in order."""
+    folder = f"{shared_folder(spark)}/rollcall/{uuid.uuid4().hex}"
+    texts = table(spark, sf_dir, "documents").select("source", "doc_id", "text")
+    texts.repartition("source").sortWithinPartitions("source", "doc_id").select("source", "text").write.partitionBy("source").text(folder)
+    return folder
+
+
+def q18b_file_encode(spark, sf_dir):
+    """Document files written, read back whole and encoded."""
+    files = read_documents(spark, f"{_written(spark, sf_dir)}/*")
+    return op.encode_files(files).select(
+        F.regexp_extract("file_path", "source=([^/]*)", 1).alias("source"), "success", "known_suffix", "file_size_bytes",
+        "file_size_readable", "encoding", F.md5("base64_content").alias("base64_md5"), "base64_size", "original_lines",
+    )
+
+
+def q18c_file_blocks(spark, sf_dir):
+    """The same files encoded block by block, as for documents too large for one value."""
+    encoded = encode_blocks(spark, f"{_written(spark, sf_dir)}/*", block_bytes=4096)
+    whole = encoded.groupBy("file_path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "base64_content"))), lambda b: b["base64_content"]), "").alias("base64"))
+    sizes = block_totals(encoded)
+    return sizes.join(whole, "file_path").select(
+        F.regexp_extract("file_path", "source=([^/]*)", 1).alias("source"), "file_size_bytes", F.md5("base64").alias("base64_md5"),
+        "base64_size", "original_lines",
+    )
+
+
+def q21d_file_inventory(spark, sf_dir):
+    """Files and bytes of a written directory, contents unread."""
+    return op.inventory_totals(read_inventory(spark, f"{_written(spark, sf_dir)}/*", "*.txt"))
+
+
 QUERIES = {
     "q18_doc_encode": q18_doc_encode,
+    "q18b_file_encode": q18b_file_encode,
+    "q18c_file_blocks": q18c_file_blocks,
     "q19_doc_roundtrip": q19_doc_roundtrip,
     "q19b_batch_summary": q19b_batch_summary,
     "q20_readable_size": q20_readable_size,
     "q21_doc_stats": q21_doc_stats,
     "q21b_inventory": q21b_inventory,
     "q21c_latest_file": q21c_latest_file,
+    "q21d_file_inventory": q21d_file_inventory,
 }
 
 
@@ -110,7 +151,28 @@ _DOCS_SQL = f"""
   FROM documents
 """
 
+# The file of each source, as written, and its text with plain line ends.
+_FILES_SQL = f"""
+  SELECT source, octet_length(encode(raw)) AS bytes, text, {_LINES} AS lines FROM (
+    SELECT source, raw, regexp_replace(raw, '\\r\\n?', chr(10), 'g') AS text FROM (
+      SELECT source, string_agg(text || chr(10), '' ORDER BY doc_id) AS raw FROM documents GROUP BY source))
+"""
+
 CHECKS = {
+    "q18b_file_encode": f"""
+      SELECT source, true AS success, true AS known_suffix, bytes AS file_size_bytes, {_size_sql('bytes')} AS file_size_readable,
+        'utf-8' AS encoding, md5(to_base64(encode(text))) AS base64_md5, length(to_base64(encode(text))) AS base64_size, lines AS original_lines
+      FROM ({_FILES_SQL})
+    """,
+    "q18c_file_blocks": f"""
+      SELECT source, bytes AS file_size_bytes, md5(to_base64(encode(text))) AS base64_md5,
+        length(to_base64(encode(text))) AS base64_size, lines AS original_lines
+      FROM ({_FILES_SQL})
+    """,
+    "q21d_file_inventory": f"""
+      SELECT count(*) AS files, CAST(sum(bytes) AS BIGINT) AS total_bytes, round(CAST(sum(bytes) AS DOUBLE) / 1048576.0, 4) AS total_mb
+      FROM ({_FILES_SQL})
+    """,
     "q18_doc_encode": f"""
       SELECT doc_id, file_name, NOT ends_with(file_name, '.pdf') AS known_suffix,
         'string' AS content_type, bytes AS original_size_bytes,

@@ -1,11 +1,13 @@
 """List exports as CSV: one scan for files whose columns differ."""
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall import fixed_values as fv
-from rollcall.functions.csvtext import csv_fields, fields_at, places_of, present
+from rollcall.functions.csvtext import csv_fields, csv_records, fields_at, places_of, present
 from rollcall.operators.consolidate import ROW_POS, SRC_FILE, SRC_RANK
 from rollcall.operators.small_tables import join_known, materialise
 from rollcall.sources.readable import readable
@@ -22,6 +24,9 @@ CSV_WRITE = {
 
 ALL_COLUMNS = tuple(dict.fromkeys(fv.FEED_COLUMNS + fv.LIST_COLUMNS))
 MAX_COLUMNS = 1_000_000
+#: The table of landed answers beside the exports of a directory, and its columns.
+ANSWERS = "regulation_answers"
+ANSWER_TABLE = "src_file string, csv_text string, landed long"
 RECORDS = "src_file string, part string, row long, fields array<string>"
 REJECTS = "src_file string, part string, record_no long, n_fields int, n_header int, record string, reason string"
 _PREFIX = f"(?:{fv.CLEANED_PREFIX}|{fv.REGULATION_PREFIX})"
@@ -69,6 +74,20 @@ def scan_split(spark: SparkSession, paths) -> DataFrame:
         export_name(F.col("part")).alias(SRC_FILE), "part", "row", csv_fields(F.col("record")).alias("fields"))
 
 
+def write_answers(answers: DataFrame, directory: str, landed: int) -> None:
+    """Add (src_file, csv_text) to the directory's table of answers; of one export the answer landed last counts."""
+    answers.select("src_file", "csv_text", F.lit(landed).cast("long").alias("landed")).write.mode("append").parquet(f"{directory}/{ANSWERS}")
+
+
+def scan_answers(spark: SparkSession, path: str) -> DataFrame:
+    """The records of the exports in a table of answers, as of :func:`scan_records`."""
+    table = spark.read.schema(ANSWER_TABLE).parquet(path)
+    last = materialise(table.groupBy("src_file").agg(F.max("landed").alias("last")))
+    texts = join_known(table, last, "src_file", "csv_text").filter("landed = last")
+    records = texts.select("src_file", F.posexplode(csv_records(F.col("csv_text"))).alias("row", "record"))
+    return records.select(F.col("src_file").alias(SRC_FILE), F.concat(F.lit(f"{path}#"), "src_file").alias("part"), F.col("row").cast("long").alias("row"), csv_fields(F.col("record")).alias("fields"))
+
+
 def headers(records: DataFrame) -> DataFrame:
     """``part``, ``head_row`` and ``header`` of every file in a written table of records.
 
@@ -95,8 +114,11 @@ def read_exports(spark: SparkSession, paths, columns=ALL_COLUMNS, splittable: bo
     from that table, so that nothing depends on how a scan deals out files.
     """
     scan = scan_split if splittable else scan_records
-    paths, unread = readable(spark, paths)
-    records = materialise(scan(spark, paths)) if paths else spark.createDataFrame([], RECORDS)
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    held = [p for p in paths if p.rstrip("/").endswith(f"/{ANSWERS}")]
+    files, unread = readable(spark, [p for p in paths if p not in held])
+    found = [*([scan(spark, files)] if files else []), *(scan_answers(spark, p) for p in held)]
+    records = materialise(reduce(DataFrame.unionByName, found)) if found else spark.createDataFrame([], RECORDS)
     known = headers(records).select(
         "part", "head_row", F.size("header").alias("n_header"),
         places_of(F.col("header"), columns).alias("places"),
@@ -123,7 +145,7 @@ def read_list_csv(spark: SparkSession, paths, columns=ALL_COLUMNS, splittable: b
 
 
 def list_exports(spark: SparkSession, directory: str) -> list[str]:
-    """Globs of the families of list exports that a directory holds."""
+    """Globs of the families of list exports that a directory holds, and its table of answers."""
 
     def held(glob: str) -> bool:
         try:
@@ -136,7 +158,7 @@ def list_exports(spark: SparkSession, directory: str) -> list[str]:
 
     names = (fv.CLEANED_PREFIX, fv.REGULATION_PREFIX, f"{SRC_FILE}={fv.REGULATION_PREFIX}")
     globs = [f"{directory}/{name}*.csv" for name in names]
-    return [g for g in globs if held(g)]
+    return [g for g in [*globs, f"{directory}/{ANSWERS}"] if held(g)]
 
 
 def write_list_csv(df: DataFrame, path: str, mode: str = "error") -> None:

@@ -50,6 +50,8 @@ def unreadable(spark: SparkSession, paths) -> DataFrame:
 
 def readable(spark: SparkSession, paths) -> tuple[list[str] | str, DataFrame]:
     """(the paths, or the files under them without those that cannot be read; those files and why)."""
+    if not paths:
+        return paths, spark.createDataFrame([], UNREADABLE)
     bad = [tuple(r) for r in unreadable(spark, paths).collect()]  # files that failed
     named = spark.createDataFrame(bad, UNREADABLE)
     if not bad:

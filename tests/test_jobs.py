@@ -323,6 +323,15 @@ def test_answers_reach_the_consolidation_of_their_folder(spark, tmp_path):
     assert {(r["Name"], r["Watchlist"]) for r in done.table.collect()} >= {("x", "OFAC"), ("b", "2025/1578")}
 
 
+def test_many_answers_land_in_few_files(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    answers = spark.range(100_000, numPartitions=8).selectExpr("concat('Name,Type\n\"n ', id, '\",Entity\n') AS answer", "concat('d', id, '.pdf') AS doc")
+    jobs.land_answers(spark, answers, "answer", "doc", folder, "t")
+    assert len(list((tmp_path / "in").rglob("*.parquet"))) <= 8
+    rows, bad = names_read(spark, folder)
+    assert len(rows) == 100_000 and rows[0] == ("sanctions_from_d0_t.csv", "n 0") and bad.isEmpty()
+
+
 def test_exports_written_by_spark_are_one_file_each(spark, tmp_path):
     """A landed export is a directory of parts; it is labelled as one file."""
     folder = str(tmp_path / "in")
