@@ -7,13 +7,12 @@ in :mod:`rollcall.operators.answers`, but no claim to the same reading of free
 text.
 """
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall import fixed_values as fv
 from rollcall.functions.dates import parse_any, parse_birth
+from rollcall.functions.identifiers import identify
 from rollcall.functions.markdown import pipe_cells, pipe_tables
 from rollcall.functions.text import strip
 from rollcall.operators.rows import explode_once
@@ -75,17 +74,25 @@ def _type(context: Column) -> Column:
     return F.coalesce(*words, F.lit("Entity"))
 
 
+def _ids() -> Column:
+    """(kind, number) of the numbers worth keeping, most telling first."""
+    found = F.array(*[F.struct(F.lit(kind).alias("kind"), _cell(header).alias("number")) for kind, header in ID_HEADERS.items()])
+    return F.filter(found, lambda i: i["number"].isNotNull())
+
+
+def row_identifiers(rows: DataFrame, *keep: str) -> DataFrame:
+    """One row per identity number of a row: (id_no, kind, number, verified).
+
+    Check digits decide the kind where the header names none that has them, and flag
+    numbers that cannot be right; ``verified`` is null for kinds without check digits.
+    """
+    checked = F.transform(_ids(), lambda i: identify(i["kind"], i["number"]))
+    return explode_once(rows, checked, "id_no", "id", *keep).select(*keep, F.col("id_no").cast("long").alias("id_no"), "id.*")
+
+
 def field_rules(rows: DataFrame, code: str, *keep: str) -> DataFrame:
     """Table rows to the 17 list columns; ``code`` holds the regulation code."""
     context = F.concat_ws(" ", F.col("header"), F.col("cells"))
-    ids = reduce(
-        lambda found, item: F.concat(
-            found,
-            F.array(F.struct(F.lit(item[0]).alias("kind"), _cell(item[1]).alias("number"))),
-        ),
-        ID_HEADERS.items(),
-        F.array().cast("array<struct<kind:string,number:string>>"),
-    )
     read = rows.select(
         *keep,
         F.col(code).alias("code"),
@@ -100,7 +107,7 @@ def field_rules(rows: DataFrame, code: str, *keep: str) -> DataFrame:
         _cell(r"(?i)address").alias("address"),
         _cell(r"(?i)listing|listed").alias("listed"),
         _cell(r"(?i)reason|information|remark").alias("info"),
-        F.filter(ids, lambda i: i["number"].isNotNull()).alias("ids"),
+        _ids().alias("ids"),
     )
     person = F.col("type") == "Individual"
     born = F.coalesce(parse_birth(F.col("birth")), parse_any(F.col("birth")))

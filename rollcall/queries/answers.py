@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from rollcall.fixed_values import FEED_COLUMNS
+from rollcall.functions.identifiers import IMO_WEIGHTS, INN_10_WEIGHTS, INN_12_WEIGHTS
 from rollcall.operators import answers as op
 from rollcall.operators import markdown as md
-from rollcall.queries.tables import SUPPLIERS_SQL, suppliers, wide_table
+from rollcall.operators import prose
+from rollcall.queries.tables import CUSTOMERS_SQL, SUPPLIERS_SQL, customers, suppliers, table, wide_table
 
 HEADER = ",".join(FEED_COLUMNS)
 SHORT_HEADER = ",".join(("Type", "Name") + FEED_COLUMNS[3:])  # 16 fields, two swapped
@@ -73,12 +75,52 @@ def q39_md_field_rules(spark, sf_dir):
     return md.field_rules(_rows(spark, sf_dir), "code", "key", "table_no", "row_no")
 
 
+# A ship number and two tax numbers per row, their check digits right or one too high.
+def _check(digits, weights):
+    return " + ".join(f"{w} * CAST(substr({digits}, {i + 1}, 1) AS INT)" for i, w in enumerate(weights))
+
+
+NUMBERS = f"""
+  SELECT key, right_one, imo || CAST(((({_check('imo', IMO_WEIGHTS)}) % 10) + off) % 10 AS VARCHAR(1)) AS imo,
+    inn || CAST(((({_check('inn', INN_10_WEIGHTS)}) % 11 % 10) + off) % 10 AS VARCHAR(1)) AS inn,
+    eleven || CAST(((({_check('eleven', INN_12_WEIGHTS[1])}) % 11 % 10) + off) % 10 AS VARCHAR(1)) AS long_inn
+  FROM (SELECT *, ten || CAST(({_check('ten', INN_12_WEIGHTS[0])}) % 11 % 10 AS VARCHAR(1)) AS eleven
+    FROM (SELECT o_orderkey AS key, o_orderstatus != 'F' AS right_one, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS off,
+        lpad(CAST(o_orderkey % 1000000 AS VARCHAR(20)), 6, '9') AS imo, lpad(CAST(o_custkey AS VARCHAR(20)), 9, '7') AS inn,
+        lpad(CAST(o_orderkey + o_custkey AS VARCHAR(20)), 10, '5') AS ten FROM {{orders}}))
+"""
+ID_TABLE = """'| Name | IMO | INN | Registration no. | Passport |\n|-|-|-|-|-|\n| n | IMO ' || imo || ' | '
+  || inn || ' | ' || long_inn || ' | P ' || key || ' |\n'"""
+
+
+def q39b_identifiers(spark, sf_dir):
+    """Numbers of a table, their kinds told and checked by check digits."""
+    numbers = spark.sql(NUMBERS, orders=table(spark, sf_dir, "orders"))
+    rows = md.table_rows(numbers.selectExpr("key", f"{ID_TABLE} AS text"), "text", "key")
+    return md.row_identifiers(rows, "key")
+
+
+# Two numbered records of running text per customer.
+PROSE = """'Annex\n\n1. ' || name || ', also known as ' || nation || ', ' || seg || '; born on ' || (nk + 1) || ' Mar 1960, place of birth: '
+  || region || ', citizen of ' || nation || '. Passport no. P' || key || ', address: Street ' || nk || ', ' || nation
+  || '.\n2) Ship ' || key || ' (IMO number: 9' || nk || '), flag ' || nation || ', listed on '
+  || CASE WHEN bal > 0 THEN '2025-07-30' ELSE 'an unknown day' END || '.\nReasons: owned by ' || name || '\n\nAn empty line ends it, born never.\n'"""
+
+
+def q39c_prose_rules(spark, sf_dir):
+    """Records of running text to the list columns."""
+    texts = customers(spark, sf_dir).selectExpr("key", f"{PROSE} AS text", "'2025/' || (1000 + nk) AS code")
+    return md.field_rules(prose.prose_rows(texts, "text", "key", "code"), "code", "key", "row_no")
+
+
 QUERIES = {
     "q24_answer_parse": q24_answer_parse,
     "q24b_answer_check": q24b_answer_check,
     "q38_md_table_rows": q38_md_table_rows,
     "q38b_document_tables": q38b_document_tables,
     "q39_md_field_rules": q39_md_field_rules,
+    "q39b_identifiers": q39b_identifiers,
+    "q39c_prose_rules": q39c_prose_rules,
 }
 
 
@@ -120,6 +162,13 @@ def _field_row(kind, table_no, row_no):
     return f"SELECT key, CAST({table_no} AS BIGINT) AS table_no, CAST({row_no} AS BIGINT) AS row_no, {', '.join(fields)} FROM ({SUPPLIERS_SQL})"
 
 
+def _prose_row(row_no, **values):
+    given = {"Watchlist": "'2025/' || (1000 + nk)", **{k.replace("_", " ") if k.startswith(("Date", "Place", "Other")) else k: v for k, v in values.items()}}
+    fields = [f"""{given.get(c, "'None'")} AS "{c}\"""" for c in FEED_COLUMNS]
+    return f"SELECT key, CAST({row_no} AS BIGINT) AS row_no, {', '.join(fields)} FROM ({CUSTOMERS_SQL})"
+
+
+_DAY = "lpad(CAST(nk + 1 AS VARCHAR), 2, '0')"
 _HEADER_1 = "Name~Registration Number~INN~Address~Date of listing~Reasons"
 _HEADER_2 = "Full name~Date of birth~Place of birth~Gender~Nationality~Passport"
 
@@ -164,4 +213,18 @@ CHECKS = {
     "q39_md_field_rules": " UNION ALL ".join(
         [_field_row("first", 0, 0), _field_row("second", 0, 1), _field_row("person", 1, 0)]
     ),
+    "q39b_identifiers": " UNION ALL ".join(
+        f"SELECT key, CAST({no} AS BIGINT) AS id_no, {kind} AS kind, {number} AS number, {verified} AS verified FROM ({NUMBERS.replace('{orders}', 'orders')})"
+        for no, kind, number, verified in (
+            (0, "'IMO'", "'IMO ' || imo", "right_one"), (1, "'INN'", "inn", "right_one"),
+            (2, "CASE WHEN right_one THEN 'INN' ELSE 'Registration Number' END", "long_inn", "CASE WHEN right_one THEN true END"),
+            (3, "'Passport'", "'P ' || key", "CAST(NULL AS BOOLEAN)"))
+    ),
+    "q39c_prose_rules": " UNION ALL ".join([
+        _prose_row(0, Name="replace(name, '#', ' ')", Aliases="nation || '; ' || seg", Type="'Individual'", Date_of_Birth=f"{_DAY} || '/03/1960'",
+                   Place_of_Birth="region", Gender="'Unknown'", Nationality="nation", COUNTRY="nation", ID_1="'P' || key", ID_Type1="'Passport'",
+                   Other_info="'Street ' || nk || ', ' || nation", DOB_DJ=f"{_DAY} || ' Mar 1960'", DOB_YEAR="'1960'"),
+        _prose_row(1, Name="'Ship ' || key", Type="'Vessel'", COUNTRY="nation", ID_1="'9' || nk", ID_Type1="'IMO'",
+                   Date_of_listing="CASE WHEN bal > 0 THEN '30/07/2025' ELSE 'an unknown day' END", Other_info="'owned by ' || name"),
+    ]),
 }
