@@ -38,6 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.llm.arrow import batches_of
 from rollcall.llm.token_files import Encoder, gather
 from rollcall.operators.small_tables import materialise
 
@@ -45,6 +46,7 @@ BATCH_CHARS = 2_000_000
 SLICE_CHARS = 250_000
 REMEMBERED = 80_000
 LISTED = 2_000_000
+ROWS_AT_ONCE = 1_000
 _JOINT = re.compile(r"(?<=\S) (?=\S)")
 BATCHES = ("key long, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, groups array<string>, "
            "pairs array<long>, counts array<long>, links array<int>")
@@ -210,7 +212,8 @@ def align(docs: DataFrame, a_json: bytes, a_pattern: str, b_model: bytes, id_col
     ``digest``. ``n_best`` counts the links whose pair is the corpus's most frequent, or
     one of them, for its B id; ``count_sum`` adds up how often the corpus has each link's pair.
     """
-    batches = materialise(_batches(docs, a_json, a_pattern, b_model, id_col, text_col, digest, batch_chars, slice_chars))
+    with batches_of(docs.sparkSession, ROWS_AT_ONCE):
+        batches = materialise(_batches(docs, a_json, a_pattern, b_model, id_col, text_col, digest, batch_chars, slice_chars))
     pairs = batches.select(F.col("key").alias("batch"), F.explode(F.arrays_zip("pairs", "counts")).alias("p")).select("batch", "p.pairs", "p.counts")
     totals = pairs.groupBy("pairs").agg(F.sum("counts").alias("total"))
     b_id = F.col("pairs").bitwiseAND(0xFFFFFFFF)
