@@ -34,10 +34,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from rollcall.llm.arrow import batches_of
+
 END_ID = 0
 BLOCK = 65_536
 CHUNK = 4 * BLOCK
 REMEMBERED = 150_000
+ROWS_AT_ONCE = 2_000
 LATIN = "\u024f"  # the last letter of the Latin blocks
 CHUNKS = ("shard int, chunk int, first long, n_ids long, planes_per_block int, doc_ids array<long>, "
           "doc_sizes array<long>, planes array<binary>")
@@ -292,7 +295,8 @@ def write_ids(docs: DataFrame, path: str, vocabulary: bytes, pattern: str, id_co
     ordered = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("row"), F.col(text_col).alias("text"))
     ordered = ordered.repartitionByRange("id", "row").sortWithinPartitions("id", "row")
     chunks = ordered.select("id", F.spark_partition_id().alias("shard"), "text").mapInArrow(encode, CHUNKS)
-    chunks.write.option("compression", "none").parquet(path)
+    with batches_of(docs.sparkSession, ROWS_AT_ONCE):
+        chunks.write.option("compression", "none").parquet(path)
 
 
 def chunk_index(spark: SparkSession, path: str) -> DataFrame:
