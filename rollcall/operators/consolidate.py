@@ -127,7 +127,8 @@ def sort_by_name(rows: DataFrame) -> DataFrame:
 
 
 def consolidate(
-    rows: DataFrame, normalised: bool = True, strict: bool = False, per_file: DataFrame | None = None
+    rows: DataFrame, normalised: bool = True, strict: bool = False, per_file: DataFrame | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
     """United rows to the final table.
 
@@ -139,10 +140,11 @@ def consolidate(
     worked out after the dedupe, for the rows that remain. The labels
     themselves come from all rows, whose first ones may be dropped; a caller who
     has worked out :func:`file_labels` passes them as ``per_file``. The sort
-    runs ahead of normalising, as it evaluates its input twice, once to sample.
+    runs ahead of normalising, as it evaluates its input twice, once to sample; who only
+    counts the rows goes without (``ordered=False``).
     """
     kept = keep_first(rows)
     if not normalised:
         return kept
     labelled = with_labels(kept, file_labels(rows) if per_file is None else per_file)
-    return normalise(sort_by_name(labelled), strict)
+    return normalise(sort_by_name(labelled) if ordered else labelled, strict)

@@ -1,5 +1,7 @@
 """Delta feed: q01 - q12."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -7,11 +9,13 @@ from rollcall.fixed_values import DOCUMENT_TYPES, FEED_COLUMNS, PROGRAMS
 from rollcall.operators import feed as op
 from rollcall.operators import reports
 from rollcall.operators.lookups import decode_by_join
+from rollcall.operators.small_tables import shared_folder
+from rollcall.plans import jobs
 from rollcall.queries.build import NULL, element, only_if, several, some, xml
 from rollcall.queries.tables import (
     CUSTOMERS_SQL, ORDERS_SQL, SUPPLIERS_SQL, customers, orders, suppliers, wide_table,
 )
-from rollcall.schemas import CORRUPT_COLUMN, FEED_ENTITY
+from rollcall.schemas import CORRUPT_COLUMN, FEED_CONTRACT, FEED_ENTITY
 from rollcall.sources.xml import parse_column, with_corrupt
 
 
@@ -271,6 +275,31 @@ def q12_corrupt_records(spark, sf_dir):
     )
 
 
+# -- landed files -------------------------------------------------------------
+
+
+def _landed(spark, sf_dir):
+    """The customer feed written as files, a seventh of its records broken, and landed; the folder of its export."""
+    folder = f"{shared_folder(spark)}/rollcall/{uuid.uuid4().hex}"
+    written = customer_feed(spark, sf_dir).select(
+        F.when(F.col("key") % 7 == 0, F.replace("xml", F.lit("</names>"), F.lit(""))).otherwise(F.col("xml")))
+    written.write.text(f"{folder}/feed")
+    return f"{folder}/out", jobs.land_feed(spark, f"{folder}/feed", f"{folder}/out", "2025-07-30")
+
+
+def q01b_feed_landing(spark, sf_dir):
+    """Feed files to their export, and the export read back."""
+    landed = _landed(spark, sf_dir)[1]
+    return landed if landed is not None else spark.createDataFrame([], FEED_CONTRACT)
+
+
+def q12b_landing_rejects(spark, sf_dir):
+    """What the landing set aside: every broken record, none of the others."""
+    rejects = jobs.landing_rejects(spark, _landed(spark, sf_dir)[0])
+    name = F.regexp_extract("record", "(Customer#[0-9]+)", 1)
+    return rejects.select("reason", name.alias("name"), F.col("record").startswith("<entity").alias("whole"))
+
+
 QUERIES = {
     "q01_feed_records": _customer_query(*FEED_COLUMNS),
     "q02_feed_type_decode": _customer_query("Type"),
@@ -287,6 +316,8 @@ QUERIES = {
     "q11_type_counts": q11_type_counts,
     "q11b_type_metrics": q11b_type_metrics,
     "q12_corrupt_records": q12_corrupt_records,
+    "q01b_feed_landing": q01b_feed_landing,
+    "q12b_landing_rejects": q12b_landing_rejects,
 }
 
 
@@ -343,7 +374,11 @@ def _values(table_):
     return "(VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in table_.items()) + ")"
 
 
+_LANDED = ", ".join(f"""nullif("{c}", '') AS "{c}\"""" for c in FEED_COLUMNS)
+
 CHECKS = {
+    "q01b_feed_landing": f"SELECT {_LANDED} FROM ({_EXPECTED}) WHERE key % 7 != 0",
+    "q12b_landing_rejects": f"SELECT 'not well-formed' AS reason, name, true AS whole FROM ({CUSTOMERS_SQL}) WHERE key % 7 = 0",
     "q01_feed_records": _expected(*FEED_COLUMNS),
     "q02_feed_type_decode": _expected("Type"),
     "q03_feed_primary_name": _expected("Name"),

@@ -1,16 +1,21 @@
 """Full list: q13 - q17."""
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.fixed_values import LIST_COLUMNS
 from rollcall.functions.dates import generation_date
 from rollcall.operators import full_list as op
+from rollcall.operators.small_tables import shared_folder
+from rollcall.plans import jobs
 from rollcall.queries.build import NULL, element, only_if, several, some, xml
 from rollcall.queries.tables import (
     CUSTOMERS_SQL, ORDERS_SQL, SUPPLIERS_SQL, customers, orders, suppliers, table,
 )
-from rollcall.schemas import LIST_ENTITY, LIST_INDIVIDUAL
+from rollcall.schemas import LIST_CONTRACT, LIST_ENTITY, LIST_INDIVIDUAL
 from rollcall.sources.xml import parse_column
 
 # Blanks of several scripts around values: tab, no-break and ideographic space.
@@ -112,6 +117,20 @@ def q13_list_recent(spark, sf_dir):
     ).select("key", "Type", "Name", "Reference_Number", "Listed_On", "Source")
 
 
+def q13b_list_landing(spark, sf_dir):
+    """The same list written as files, which name their day, and landed."""
+    folder = f"{shared_folder(spark)}/rollcall/{uuid.uuid4().hex}"
+    newest = table(spark, sf_dir, "orders").agg(F.max("o_orderdate").cast("date")).first()[0]
+    fields = {"FIRST_NAME": "'Party ' || key", "REFERENCE_NUMBER": "'R' || key", "LISTED_ON": LISTED}
+    dated = orders(spark, sf_dir)
+    records = dated.filter("status != 'P'").selectExpr(xml("INDIVIDUAL", **fields)).union(dated.filter("status = 'P'").selectExpr(xml("ENTITY", **fields)))
+    inside = F.concat(F.lit(f'<LIST dateGenerated="{newest}T23:00:05.333Z">'), "xml", F.lit("</LIST>"))
+    records.select(inside.alias("value")).write.text(f"{folder}/list")
+    landed = jobs.land_full_list(spark, f"{folder}/list", f"{folder}/out", "s", F.lit(None).cast("date"))
+    rows = reduce(DataFrame.unionByName, landed, spark.createDataFrame([], LIST_CONTRACT))
+    return rows.select("Type", "Name", "Reference_Number", "Listed_On", "Source")
+
+
 def _individuals(spark, sf_dir):
     parsed = parse_column(individual_list(spark, sf_dir), "xml", LIST_INDIVIDUAL, "INDIVIDUAL", "key")
     return op.flatten_individuals(parsed, "key")
@@ -130,6 +149,7 @@ def _from(records, *columns):
 
 QUERIES = {
     "q13_list_recent": q13_list_recent,
+    "q13b_list_landing": q13b_list_landing,
     "q14_list_names": _from(_individuals, "Type", "Name", "Reference_Number", "Listed_On", "Gender",
                             "Comments", "Source"),
     "q14b_list_entities": _from(_entities, *LIST_COLUMNS),
@@ -159,6 +179,16 @@ CHECKS = {
       WHERE day >= (SELECT max(CAST(o_orderdate AS DATE)) - 1 FROM orders)
         AND (priority != '5-LOW' OR price >= 300000)
     """,
+    "q13b_list_landing": f"""
+      SELECT CASE WHEN status = 'P' THEN 'Entity' ELSE 'Individual' END AS "Type",
+        'Party ' || key AS "Name", 'R' || key AS "Reference_Number",
+        CASE WHEN priority = '2-HIGH' THEN strftime(day, '%Y-%-m-%-d')
+          ELSE strftime(day, '%Y-%m-%d') END AS "Listed_On",
+        'UN Security Council' AS "Source"
+      FROM ({ORDERS_SQL})
+      WHERE day >= (SELECT max(CAST(o_orderdate AS DATE)) - 1 FROM orders)
+        AND (priority != '5-LOW' OR price >= 300000)
+    """,
     "q14_list_names": f"""
       SELECT key, 'Individual' AS "Type",
         concat_ws(' ', name, CASE WHEN seg != 'BUILDING' THEN lower(seg) END,
