@@ -1,4 +1,9 @@
-"""Connected components of a graph of any size, by alternating stars."""
+"""Connected components of a graph of any size, by alternating stars.
+
+The smallest neighbours are written before they are joined back to the edges: a join of two
+shuffled sides can be split by Spark where one node has a large share of all edges, while one
+with an aggregate on its other side can not.
+"""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,13 +14,13 @@ from rollcall.operators.small_tables import materialise
 def _large_star(edges: DataFrame) -> DataFrame:
     """Tie every larger neighbour of a node to the smallest node around it."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    least = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("m", "a").alias("m")))
     return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """Tie a node and its smaller neighbours to the smallest of them; ``a`` > ``b`` in all edges."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    """Tie a node and its smaller neighbours to the smallest of them; ``a`` > ``b`` in all edges of the written table."""
+    least = materialise(edges.groupBy("a").agg(F.min("b").alias("m")))
     tied = edges.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return tied.union(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -35,7 +40,7 @@ def connected(edges: DataFrame) -> DataFrame:
     now = materialise(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = _state(now)
     while state[0]:
-        after = materialise(_small_star(_large_star(now)))
+        after = materialise(_small_star(materialise(_large_star(now))))
         now, before, state = after, state, _state(after)
         if state == before:
             break

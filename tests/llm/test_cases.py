@@ -483,3 +483,12 @@ def test_long_words_keep_their_trigrams():
         parts = [language.letters_of(p) for p in language.pieces_of(f"a {word}")[1:]]
         assert [g for p in parts for g in language.grams_of(p)] == language.grams_of(whole)
         assert sum(map(language.n_letters, parts)) == sum(c.isalpha() for c in word)
+
+
+def test_components_of_a_large_star(spark):
+    """One node with all the others around it, and a chain, under joins that are split where they are skewed."""
+    n = 100_000
+    star = spark.range(1, n).selectExpr("id * 7 + 3 AS a", "5L AS b")
+    chain = spark.range(200).selectExpr("-id - 1 AS a", "-id - 2 AS b")
+    got = components.connected(star.union(chain))
+    assert got.filter("node > 5 AND root = 5").count() == n - 1 and got.filter("node < 0").select("root").distinct().collect()[0][0] == -201
