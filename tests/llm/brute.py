@@ -323,3 +323,82 @@ def near_by_prints(rows, least, places):
                 open_.append(u)
         out.append((d, min((i for u in reached for i in ids[u] if i is not None), default=None), len(linked[t])))
     return out
+
+
+SCRIPTS = [(0x41, 0x24F, "Latin"), (0x370, 0x3FF, "Greek"), (0x400, 0x52F, "Cyrillic"), (0x3400, 0x9FFF, "Han"), (0x3040, 0x30FF, "Kana")]
+
+
+def word_letters(word):
+    return " " + " ".join("".join(c if c.isalpha() else " " for c in word.lower()).split()) + " "
+
+
+def pieces(text, longest=48):
+    """The letters of each word, those of long words in parts that begin ``longest`` trigrams each."""
+    out = []
+    for word in text.split():
+        letters = word_letters(word)
+        out += [letters] if len(word) <= longest else [letters[i : i + longest + 2] for i in range(0, max(1, len(letters) - 2), longest)]
+    return out
+
+
+def letter_count(letters):
+    return sum(c != " " for c in letters[1:-1])
+
+
+def script(c):
+    return next((name for a, b, name in SCRIPTS if a <= ord(c) <= b), None)
+
+
+def language_model(rows):
+    """rows: (text, lang) to learn from, each distinct text once: weights of trigrams, and scripts, per language."""
+    import math
+
+    languages, grams, scripts = sorted({lang for _, lang in rows}), Counter(), Counter()
+    for text, lang in sorted(set(rows)):
+        for letters in pieces(text):
+            if letters != "  ":
+                grams.update((lang, letters[i : i + 3]) for i in range(len(letters) - 2))
+                scripts.update((lang, s) for s in map(script, letters[1:-1]) if s)
+    names = {g for _, g in grams}
+    total = {lang: sum(n for (x, _), n in grams.items() if x == lang) for lang in languages}
+    weight = {(lang, g): math.log((grams[lang, g] + 0.5) / (total[lang] + 0.5 * (len(names) + 1))) for lang in languages for g in [*names, None]}
+    letters = {lang: sum(n for (x, _), n in scripts.items() if x == lang) for lang in languages}
+    uses = {s: [scripts[lang, s] >= 0.01 * max(letters[lang], 1) for lang in languages] for _, s in scripts}
+    return languages, names, weight, uses
+
+
+def language(text, model, switch=12.0):
+    """Language and score by trying, word after word, every language for it and for the word before."""
+    import math
+
+    languages, names, weight, uses = model
+    words = pieces(text or "")
+    if not any(map(letter_count, words)):
+        return "und", 0.0
+    scores = []
+    for w in words:
+        found = Counter(s for s in map(script, w) if s)
+        may = uses.get(min(found, key=lambda s: (-found[s], s))) if found else None
+        if w == "  " or not may or not any(may):
+            scores.append([0.0] * len(languages))
+            continue
+        totals = [sum(weight[lang, w[i : i + 3] if w[i : i + 3] in names else None] for i in range(len(w) - 2)) for lang in languages]
+        best = max(t for t, m in zip(totals, may) if m)
+        scores.append([max(t - best, -6.0) if m else -30.0 for t, m in zip(totals, may)])
+    n = range(len(languages))
+    value, back = list(scores[0]), []
+    for s in scores[1:]:
+        came = [max(n, key=lambda j: (value[j] - switch * (j != i), j == i, -j)) for i in n]
+        value = [value[j] - switch * (j != i) + s[i] for i, j in enumerate(came)]
+        back.append(came)
+    at = max(n, key=lambda i: (value[i], -i))
+    path = [at]
+    for came in reversed(back):
+        at = came[at]
+        path.append(at)
+    path.reverse()
+    each = [sum(letter_count(w) for w, p in zip(words, path) if p == i) for i in n]
+    best = max(n, key=lambda i: (each[i], -i))
+    sums = [sum(s[i] for s in scores) for i in n]
+    chance = 1.0 / sum(math.exp(min(max(t - sums[best], -700), 700)) for t in sums)
+    return languages[best], min(1.0, each[best] / sum(each) * max(chance, 1.0 / len(languages)))

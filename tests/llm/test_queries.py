@@ -54,6 +54,16 @@ def test_language_on_held_out_rows(spark):
     assert sum(lang[r.doc_id] == r.lang_pred for r in held) >= 0.97 * len(held)
 
 
+def test_language_equals_brute_force(spark):
+    """Training and walk written plainly over the whole table; scores to the precision of the model's numbers."""
+    given = rows("SELECT doc_id, text, lang FROM documents")
+    model = brute.language_model([(t, lang) for d, t, lang in given if t is not None and lang is not None and zlib.crc32(str(d).encode()) % 5])
+    got = {r.doc_id: r for r in QUERIES["op10_language"](spark, SF_DIR).collect()}
+    for d, text, _ in given:
+        lang, score = brute.language(text, model)
+        assert got[d].lang_pred == lang and got[d].score == pytest.approx(score, abs=1e-3), d
+
+
 def test_fingerprints_of_all_documents(spark):
     """Every text walked as a whole; the slow walk of the brute-force version is run on the shorter ones."""
     docs = sorted((d, t or "") for d, t in rows(DOCS))
