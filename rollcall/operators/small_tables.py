@@ -23,13 +23,34 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """Where this application keeps what it computes on the way."""
+    return f"{shared_folder(spark)}/rollcall/{spark.sparkContext.applicationId}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder, on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def drop_intermediate(spark: SparkSession) -> None:
+    """Remove all that :func:`materialise` has written in this application.
+
+    For the caller to do, once the results are written: frames read from these
+    tables until then.
+    """
+    remove(spark, _own_folder(spark))
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute once into a table in the shared folder and read from there.
 
     The lineage ends at the table: losing executors later costs a re-read, not
     a re-parse. Being Parquet, each reader takes only the columns it needs.
+    The tables stay until :func:`drop_intermediate`.
     """
-    path = f"{shared_folder(df.sparkSession)}/rollcall/{uuid.uuid4().hex}"
+    path = f"{_own_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -338,6 +338,20 @@ def test_join_beyond_the_broadcast_bound(spark):
     assert far.filter(F.col("label") != F.concat(F.lit("l-"), "k")).isEmpty()
 
 
+def test_intermediate_tables_have_an_owner(spark):
+    """They go when the caller says so, and only those; later work starts anew."""
+    from rollcall.operators import small_tables
+
+    kept = f"{small_tables.shared_folder(spark)}/rollcall/result"
+    spark.range(3).write.mode("overwrite").parquet(kept)
+    held = small_tables.materialise(spark.range(5))
+    assert held.count() == 5
+    small_tables.drop_intermediate(spark)
+    with pytest.raises(Exception):
+        held.collect()
+    assert spark.read.parquet(kept).count() == 3 and small_tables.materialise(spark.range(2)).count() == 2
+
+
 def test_reports(spark):
     df = spark.createDataFrame(
         [("Individual", "UN"), ("Individual", None), ("Entity", "EU"), (None, "EU")], "Type string, Watchlist string"
