@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm import decontaminate, language, queries, secret_scan, simhash, word_bpe
-from rollcall.operators.small_tables import shared_folder
+from rollcall.operators.small_tables import remove, shared_folder
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,11 +59,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
+    """All stages over ``documents``, each written to the shared folder and read again.
+
+    A stage's table is removed when the next one is written; the last one stays.
+    """
     docs = queries.table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/rollcall/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES:
         path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs
