@@ -7,7 +7,7 @@ from rollcall.functions.identifiers import IMO_WEIGHTS, INN_10_WEIGHTS, INN_12_W
 from rollcall.operators import answers as op
 from rollcall.operators import markdown as md
 from rollcall.operators import prose
-from rollcall.queries.tables import CUSTOMERS_SQL, SUPPLIERS_SQL, customers, suppliers, table, wide_table
+from rollcall.queries.tables import CUSTOMERS_SQL, SUPPLIERS_SQL, customers, suppliers, wide_table
 
 HEADER = ",".join(FEED_COLUMNS)
 SHORT_HEADER = ",".join(("Type", "Name") + FEED_COLUMNS[3:])  # 16 fields, two swapped
@@ -95,7 +95,7 @@ ID_TABLE = """'| Name | IMO | INN | Registration no. | Passport |\n|-|-|-|-|-|\n
 
 def q39b_identifiers(spark, sf_dir):
     """Numbers of a table, their kinds told and checked by check digits."""
-    numbers = spark.sql(NUMBERS, orders=table(spark, sf_dir, "orders"))
+    numbers = spark.sql(NUMBERS, orders=wide_table(spark, sf_dir, "orders"))
     rows = md.table_rows(numbers.selectExpr("key", f"{ID_TABLE} AS text"), "text", "key")
     return md.row_identifiers(rows, "key")
 
