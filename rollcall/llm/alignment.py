@@ -12,7 +12,8 @@ crosses them.
 Every group ends with one pair of occurrences whose bytes end together, its link. How
 often the corpus links a pair of ids is counted exactly: a batch of documents (at most
 ``BATCH_CHARS`` of text, or one longer document) is one row of the written table, with its
-distinct pairs and their numbers beside it; these are summed by pair, set beside the
+distinct pairs and their numbers beside it, and the place among these of every link in as
+few bytes as they need; these are summed by pair, set beside the
 highest sum of their B id, joined back to the batches they come from, and read off per
 document. A pair in a third of all places travels once per batch. Only the highest sums
 are broadcast, a row per id of B's vocabulary at most.
@@ -49,9 +50,12 @@ LISTED = 2_000_000
 ROWS_AT_ONCE = 1_000
 _JOINT = re.compile(r"(?<=\S) (?=\S)")
 BATCHES = ("key long, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, groups array<string>, "
-           "pairs array<long>, counts array<long>, links array<int>")
-BATCH_TYPES = [pa.int64(), *[pa.list_(pa.int64())] * 4, pa.list_(pa.large_string()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32())]
+           "pairs array<long>, counts array<long>, links binary")
+BATCH_TYPES = [pa.int64(), *[pa.list_(pa.int64())] * 4, pa.list_(pa.large_string()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.large_binary()]
 BATCH_NAMES = [c.split()[0] for c in BATCHES.split(", ")]
+#: Sizes are looked at after each batch, not after 100, so that row groups hold a few and pages one: the writer holds a row
+#: group, the reader the arrays of one and a page of each column, however many batches a task has made.
+WRITTEN = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "1"}
 
 
 def align_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -204,6 +208,16 @@ def _aligned_slice(both: TwoTokenizers, texts: list[str | None], digest: bool) -
     return [n_a, n_b, n_groups], groups, (a[at_a].astype(np.int64) << 32) | b[at_b]
 
 
+def _packed(places: np.ndarray, n: int) -> bytes:
+    """Numbers below ``n``, each in 1, 2 or 4 bytes."""
+    return places.astype(next(t for t, most in (("<u1", 1 << 8), ("<u2", 1 << 16), ("<u4", 1 << 32)) if n <= most)).tobytes()
+
+
+def _unpacked(data: pa.Buffer, count: int) -> np.ndarray:
+    """``count`` numbers written by :func:`_packed`."""
+    return np.frombuffer(data, dtype=f"<u{data.size // count}") if count else np.empty(0, dtype="<u4")
+
+
 def align(docs: DataFrame, a_json: bytes, a_pattern: str, b_model: bytes, id_col: str = "doc_id", text_col: str = "text",
           digest: bool = False, batch_chars: int = BATCH_CHARS, slice_chars: int = SLICE_CHARS) -> DataFrame:
     """``doc_id``, ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``n_best``, ``count_sum`` and ``groups`` of every document.
@@ -213,7 +227,7 @@ def align(docs: DataFrame, a_json: bytes, a_pattern: str, b_model: bytes, id_col
     one of them, for its B id; ``count_sum`` adds up how often the corpus has each link's pair.
     """
     with batches_of(docs.sparkSession, ROWS_AT_ONCE):
-        batches = materialise(_batches(docs, a_json, a_pattern, b_model, id_col, text_col, digest, batch_chars, slice_chars))
+        batches = materialise(_batches(docs, a_json, a_pattern, b_model, id_col, text_col, digest, batch_chars, slice_chars), **WRITTEN)
     pairs = batches.select(F.col("key").alias("batch"), F.explode(F.arrays_zip("pairs", "counts")).alias("p")).select("batch", "p.pairs", "p.counts")
     totals = pairs.groupBy("pairs").agg(F.sum("counts").alias("total"))
     b_id = F.col("pairs").bitwiseAND(0xFFFFFFFF)
@@ -232,7 +246,8 @@ def align(docs: DataFrame, a_json: bytes, a_pattern: str, b_model: bytes, id_col
                 place = order[np.searchsorted(pairs, own, sorter=order)] if len(own) else np.empty(0, np.int64)
                 if not np.array_equal(pairs[place], own):
                     raise ValueError("a batch of links came back incomplete")
-                links, n = get("links").to_numpy(), get("n_groups").to_numpy()
+                n = get("n_groups").to_numpy()
+                links = _unpacked(row.column(BATCH_NAMES.index("links"))[k].as_buffer(), int(n.sum()))
                 ends = np.concatenate([[0], np.cumsum(n)])
                 sums = [np.concatenate([[0], np.cumsum(x[place][links].astype(np.int64))])[ends] for x in (best, total)]
                 columns = [*(get(c) for c in ("doc_ids", "n_a", "n_b", "n_groups", "n_groups")), *(pa.array(np.diff(s)) for s in sums), get("groups")]
@@ -256,7 +271,7 @@ def _batches(docs: DataFrame, a_json: bytes, a_pattern: str, b_model: bytes, id_
         def row():
             pairs, links, counts = np.unique(np.concatenate([d[2] for d in done]), return_inverse=True, return_counts=True)
             values = [(task << 32) + number, ids, *(np.concatenate([d[0][k] for d in done]) for k in range(3)),
-                      [g for d in done for g in d[1]], pairs, counts, links.astype(np.int32)]
+                      [g for d in done for g in d[1]], pairs, counts, _packed(links, len(pairs))]
             return pa.record_batch([pa.array([v], t) for v, t in zip(values, BATCH_TYPES)], names=BATCH_NAMES)
 
         for batch in batches:

@@ -24,6 +24,7 @@ an empty table gives no chunks. Other columns are not read.
 
 import re
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,16 @@ _BLANK_EDGE = "^$|^[{0}]|[{0}]$".format("\\s\\x0b\\x1c-\\x1f\u0085\u00a0\u1680\u
 _JOINT = re.compile(r"(?<=\S) (?=\S)")
 
 
+@lru_cache(maxsize=2)
+def _library(vocabulary: bytes, special: bool):
+    """The library's tokenizer, one for all tasks of a worker: it keeps its memory of words, several MB, when it is dropped."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(vocabulary.decode())
+    tokenizer.encode_special_tokens = not special  # their strings in a text are ordinary text
+    return tokenizer
+
+
 class Encoder:
     """Ids of whole texts as little-endian 32-bit numbers, by the tokenizers library.
 
@@ -60,10 +71,7 @@ class Encoder:
     """
 
     def __init__(self, vocabulary: bytes, pattern: str, special: bool = False, remembered: int = REMEMBERED) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(vocabulary.decode())
-        self.tokenizer.encode_special_tokens = not special  # their strings in a text are ordinary text
+        self.tokenizer = _library(vocabulary, special)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if special or not t.special]
         self.model = self.tokenizer.model
         self.find = regex.compile(pattern).findall
