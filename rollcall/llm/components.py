@@ -8,20 +8,20 @@ with an aggregate on its other side can not.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.operators.small_tables import materialise
+from rollcall.operators.small_tables import materialise, shuffled
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Tie every larger neighbour of a node to the smallest node around it."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("m", "a").alias("m")))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.filter("b > a").join(shuffled(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Tie a node and its smaller neighbours to the smallest of them; ``a`` > ``b`` in all edges of the written table."""
     least = materialise(edges.groupBy("a").agg(F.min("b").alias("m")))
-    tied = edges.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    tied = edges.join(shuffled(least), "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return tied.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 

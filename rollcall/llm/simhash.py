@@ -18,6 +18,10 @@ are home to more than ``HOT_HOMES`` distinct fingerprints would make one task co
 too many: there, each fingerprint's 2,080 neighbours are looked up by equality instead,
 which is linear and exact as well.
 
+Spark sizes the replicas as if a fingerprint had one, and would broadcast them all. They and
+the tables of fingerprints and documents are shuffled, whatever Spark takes their sizes to
+be. Only the rows to keep may be broadcast, as Spark has counted their bytes by then.
+
 Defined cases: null and blank texts have fingerprint zero and are linked like any other;
 rows with equal or null ids are rows of their own; a component whose ids are all null has
 a null component id; an empty table gives an empty result. Other columns are not read.
@@ -33,7 +37,7 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.components import connected
 from rollcall.llm.words import spaced_words
-from rollcall.operators.small_tables import materialise
+from rollcall.operators.small_tables import materialise, shuffled
 
 SHINGLE = 3
 SEED = 42
@@ -160,7 +164,7 @@ def _looked_up(hot: DataFrame, fps: DataFrame, threshold: int) -> DataFrame:
                 )
 
     near = hot.select("fp").mapInArrow(neighbours, "a long, b long")
-    return near.join(fps.select(F.col("fp").alias("b")), "b", "left_semi").select("a", "b")
+    return near.join(shuffled(fps.select(F.col("fp").alias("b"))), "b", "left_semi").select("a", "b")
 
 
 def links(fps: DataFrame, threshold: int = THRESHOLD, hot_homes: int = HOT_HOMES) -> DataFrame:
@@ -173,7 +177,7 @@ def links(fps: DataFrame, threshold: int = THRESHOLD, hot_homes: int = HOT_HOMES
     replicas = _replicas(fps, threshold).select("anchor", F.col("fp").alias("b"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold
     calm = homes.join(crowded, "anchor", "left_anti").select("anchor", F.col("fp").alias("a"))
-    compared = calm.join(replicas, "anchor").filter(near & (F.col("a") < F.col("b"))).select("a", "b")
+    compared = calm.join(shuffled(replicas), "anchor").filter(near & (F.col("a") < F.col("b"))).select("a", "b")
     hot = homes.join(crowded, "anchor", "left_semi")
     return compared.union(_looked_up(hot, fps, threshold))
 
@@ -182,16 +186,16 @@ def groups(prints: DataFrame, threshold: int = THRESHOLD, hot_homes: int = HOT_H
     """``fp`` and ``component_id`` of every distinct fingerprint."""
     fps = materialise(prints.groupBy("fp").agg(F.min("id").alias("first")))
     roots = connected(links(fps, threshold, hot_homes))
-    rooted = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = fps.join(shuffled(roots.withColumnRenamed("node", "fp")), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rooted.join(smallest, "root").select("fp", "component_id")
+    return rooted.join(shuffled(smallest), "root").select("fp", "component_id")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: int = THRESHOLD, hot_homes: int = HOT_HOMES) -> DataFrame:
     """One row per document: ``doc_id``, ``row``, ``fingerprint`` in hex, ``component_id``."""
     prints = materialise(fingerprints(docs, id_col, text_col))
-    return prints.join(groups(prints, threshold, hot_homes), "fp").select(
+    return prints.join(shuffled(groups(prints, threshold, hot_homes)), "fp").select(
         F.col("id").alias("doc_id"), "row",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
     )
@@ -203,7 +207,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Of rows that share this id, the one whose text has the smallest hash stays, once.
     """
     prints = materialise(fingerprints(docs, id_col, text_col))
-    found = prints.join(groups(prints), "fp")
+    found = prints.join(shuffled(groups(prints)), "fp")
     keep = found.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row")).alias("k"))
     # All-null components share the null id; they are told apart by their fingerprints.
     nameless = found.filter(F.col("component_id").isNull()).groupBy("fp").agg(F.min("row").alias("row"))
