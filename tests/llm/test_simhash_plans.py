@@ -1,8 +1,11 @@
 """No join of near duplicates collects a table of the documents in the driver, however small Spark takes it to be."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from rollcall.llm import components, simhash
 from rollcall.operators.small_tables import materialise
 from tests.llm import brute
@@ -44,3 +47,12 @@ def test_documents_are_shuffled(spark):
     assert "Broadcast" not in plan(got)
     want = brute.components(docs)
     assert sorted(((r.doc_id, r.fingerprint, r.component_id) for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_stage_of_the_pipeline(spark, plans):
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, text), (2, text), (3, "other words " * 9), (None, "x y z"), (5, None)], "doc_id long, text string")
+    kept = corpus_pipeline.keep_one_of_each_group(spark, docs, "")
+    assert any("MapInArrow" in p and "bit_count" in p for p in plans)
+    assert not any(re.search("BroadcastHashJoin .*Inner", p) for p in [*plans, plan(kept)])
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, "x y z"), (1, text), (3, "other words " * 9), (5, "")]
